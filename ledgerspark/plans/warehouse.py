@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -204,20 +206,24 @@ def at_version(transactions: DataFrame, dim_employee: DataFrame) -> DataFrame:
     ).drop("valid_from", "valid_to")
 
 
+FACT_INPUT = [
+    "transaction_id", "project_id", "vendor_id", "approved_by", "transaction_date", "amount", "currency", "category",
+    "payment_status", "invoice_ref",
+]
+
+
 def fact_rows(
     transactions: DataFrame, dim_project: DataFrame, dim_vendor: DataFrame, dim_employee: DataFrame
 ) -> DataFrame:
-    """The fact without its own key: three left lookups per transaction."""
+    """Three left lookups per transaction; a key column of the input is carried along."""
+    own_key = [c for c in transactions.columns if c == "transaction_key"]
     dated = transactions.withColumn("transaction_day", parse_date(F.col("transaction_date")))
-    with_project = left_lookup(
-        dated, dim_project.select("project_key", F.col("project_id").alias("_project")), "project_id", "_project",
-        "transaction_id",
-    )
-    with_vendor = left_lookup(
-        with_project, dim_vendor.select("vendor_key", F.col("vendor_id").alias("_vendor")), "vendor_id", "_vendor",
-        "transaction_id",
-    )
+    projects = dim_project.select("project_key", F.col("project_id").alias("_project"))
+    vendors = dim_vendor.select("vendor_key", F.col("vendor_id").alias("_vendor"))
+    with_project = left_lookup(dated, projects, "project_id", "_project", "transaction_id")
+    with_vendor = left_lookup(with_project, vendors, "vendor_id", "_vendor", "transaction_id")
     return at_version(with_vendor, dim_employee).select(
+        *own_key,
         "transaction_id",
         "project_key",
         "employee_key",
@@ -234,8 +240,14 @@ def fact_rows(
 def build_fact(
     transactions: DataFrame, dim_project: DataFrame, dim_vendor: DataFrame, dim_employee: DataFrame
 ) -> DataFrame:
-    rows = fact_rows(transactions, dim_project, dim_vendor, dim_employee)
-    return add_dense_key(rows, ["transaction_id", "employee_key", "vendor_key", "project_key"], "transaction_key")
+    """Keys are given to the plain transactions, before the lookups.
+
+    The order of the ids decides the key, and the lookups keep the rows as they
+    are, so the sampling pass of the range partitioning reads the source and
+    not the result of three joins.
+    """
+    keyed = add_dense_key(transactions.select(*FACT_INPUT), ["transaction_id"], "transaction_key")
+    return fact_rows(keyed, dim_project, dim_vendor, dim_employee)
 
 
 # --- validation -------------------------------------------------------------
@@ -386,42 +398,76 @@ def constraint_violations(star: dict[str, DataFrame], constraints: dict = CONSTR
 # --- whole star -------------------------------------------------------------
 
 
-def build_star(
-    clean_projects: DataFrame, clean_employees: DataFrame, history: DataFrame, transactions: DataFrame
-) -> dict[str, DataFrame]:
-    """All tables of the star schema with their surrogate keys."""
-    dim_project = build_dim_project(clean_projects)
-    dim_employee = build_dim_employee(clean_employees, history)
-    dim_vendor = build_dim_vendor(transactions)
-    return {
-        "dim_date": dim_date_for(transactions),
-        "dim_project": dim_project,
-        "dim_employee": dim_employee,
-        "dim_vendor": dim_vendor,
-        "bridge_employee_project": build_bridge(transactions, dim_project, dim_employee),
-        "fact_transactions": build_fact(transactions, dim_project, dim_vendor, dim_employee),
-    }
-
-
-def star_on_natural_keys(
-    clean_projects: DataFrame, clean_employees: DataFrame, history: DataFrame, transactions: DataFrame
-) -> dict[str, DataFrame]:
+class Star:
+    """The tables of the star schema with their surrogate keys, each built on first use."""
+
+    def __init__(
+        self,
+        clean_projects: DataFrame,
+        clean_employees: Callable[[], DataFrame],
+        history: DataFrame,
+        transactions: DataFrame,
+    ) -> None:
+        self._projects = clean_projects
+        self._employees = clean_employees
+        self._history = history
+        self._transactions = transactions
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dim_date_for(self._transactions)
+
+    @cached_property
+    def dim_project(self) -> DataFrame:
+        return build_dim_project(self._projects)
+
+    @cached_property
+    def dim_employee(self) -> DataFrame:
+        return build_dim_employee(self._employees(), self._history)
+
+    @cached_property
+    def dim_vendor(self) -> DataFrame:
+        return build_dim_vendor(self._transactions)
+
+    @cached_property
+    def bridge_employee_project(self) -> DataFrame:
+        return build_bridge(self._transactions, self.dim_project, self.dim_employee)
+
+    @cached_property
+    def fact_transactions(self) -> DataFrame:
+        return build_fact(self._transactions, self.dim_project, self.dim_vendor, self.dim_employee)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in CONSTRAINTS}
+
+
+class NaturalKeyStar(Star):
     """The same tables joined on the source ids, for questions that need no stored keys.
 
     The ids determine the surrogate keys one to one, so the answers are equal;
     a transaction with an unknown id keeps that id and matches no dimension row.
     """
-    return {
-        "dim_date": dim_date_for(transactions),
-        "dim_project": project_attributes(clean_projects).withColumn("project_key", F.col("project_id")),
-        "dim_employee": employee_versions(clean_employees, history),
-        "dim_vendor": vendor_attributes(transactions).withColumn("vendor_key", F.col("vendor_id")),
-        "fact_transactions": transactions.select(
+
+    @cached_property
+    def dim_project(self) -> DataFrame:
+        return project_attributes(self._projects).withColumn("project_key", F.col("project_id"))
+
+    @cached_property
+    def dim_employee(self) -> DataFrame:
+        version = F.concat_ws("@", "employee_id", F.col("valid_from").cast("string"))
+        return employee_versions(self._employees(), self._history).withColumn("employee_key", version)
+
+    @cached_property
+    def dim_vendor(self) -> DataFrame:
+        return vendor_attributes(self._transactions).withColumn("vendor_key", F.col("vendor_id"))
+
+    @cached_property
+    def fact_transactions(self) -> DataFrame:
+        return self._transactions.select(
             "transaction_id",
             F.col("project_id").alias("project_key"),
             F.col("vendor_id").alias("vendor_key"),
             date_key(parse_date(F.col("transaction_date"))).alias("date_key"),
             F.col("amount").cast("decimal(14,2)").alias("amount"),
             "currency", "category", "payment_status", "invoice_ref",
-        ),
-    }
+        )

@@ -26,7 +26,8 @@ def build_session(app_name: str = "ledgerspark", master: str | None = None, **co
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "static",
+        # the call-site capture costs more driver time than building the expressions
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():

@@ -11,8 +11,10 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def write_csv(df: DataFrame, path: str) -> int:
+    """Write a CSV with header; blanks at the ends of a text are kept."""
     counted, rows = _counted(df)
-    counted.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = counted.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return rows.get["rows"]
 
 

@@ -9,6 +9,21 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+# Schemas of the tables read here; given, so that opening a table reads no file.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 PROJECT_COLUMNS = {
     "project_id": "concat('PRJ', cast(o_orderkey as string))",
     "project_name": "concat('Project ', cast(o_orderkey as string))",
@@ -125,7 +140,7 @@ class TestData:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def _customers(self) -> DataFrame:
@@ -197,6 +212,5 @@ class TestData:
         return platform_events(self.table("events"))
 
     def event_stream(self) -> DataFrame:
-        schema = self.table("events").schema
-        stream = self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.folder)
-        return platform_events(stream)
+        reader = self.spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet")
+        return platform_events(reader.parquet(self.folder))
