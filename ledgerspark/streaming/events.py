@@ -14,6 +14,8 @@ from ledgerspark.plans.events import RAISED
 from ledgerspark.sources.files import parse_event_time
 
 UNKNOWN_TYPE = "unknown"
+COUNTS_SCHEMA = "event_type string, event_count bigint"
+MESSAGE_SCHEMA = "key string, value string"
 CRITICAL = "Critical"
 
 
@@ -116,6 +118,9 @@ def run_event_stream(spark: SparkSession, events: DataFrame, out: str, checkpoin
     batches written and is produced even if the stream fails midway.
     """
     folder = out.rstrip("/")
+    for part, schema in (("counts", COUNTS_SCHEMA), ("forwarded", MESSAGE_SCHEMA)):
+        # an empty first part, so that the summary finds a table however early the stream fails
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/{part}/batch_id=none")
     started = time.monotonic()
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -153,8 +158,8 @@ def stream_metrics(spark: SparkSession, out: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
-    counts = _batches(spark, f"{out}/counts", "event_type string, event_count bigint")
-    forwarded = _batches(spark, f"{out}/forwarded", "key string, value string")
+    counts = _batches(spark, f"{out}/counts", COUNTS_SCHEMA)
+    forwarded = _batches(spark, f"{out}/forwarded", MESSAGE_SCHEMA)
     return counts, forwarded
 
 
