@@ -8,16 +8,29 @@ OPEN_END = "9999-12-31"
 
 
 def parse_date(text: Column) -> Column:
-    """ISO date or null; a year of five digits does not parse."""
-    return F.try_to_date(strip(text), "yyyy-MM-dd")
+    """ISO date or null; a year of five digits does not parse.
+
+    Text of the shape ....-..-.d goes through the cast, which is several times
+    faster than a pattern. Everything else is left to the strict pattern.
+    """
+    plain = F.trim(text)
+    iso_shape = (
+        (F.length(plain) == 10)
+        & (F.substring(plain, 5, 1) == "-")
+        & (F.substring(plain, 8, 1) == "-")
+        & F.ascii(F.substring(plain, 10, 1)).between(ord("0"), ord("9"))
+    )
+    return F.when(iso_shape, plain.try_cast("date")).otherwise(F.try_to_date(strip(text), "yyyy-MM-dd"))
 
 
 def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("bigint")
+    """The day as the number yyyymmdd. It reads the day once, which may be an expression."""
+    return F.replace(day.cast("string"), F.lit("-"), F.lit("")).cast("bigint")
 
 
 def year_month(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM")
+    """yyyy-mm, cut off the ISO text of the date or time."""
+    return F.substring(day.cast("string"), 1, 7)
 
 
 def days_between(start: Column, end: Column) -> Column:

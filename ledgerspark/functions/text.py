@@ -12,13 +12,26 @@ WHITE_SPACE = (
 MISSING_TOKENS = ["", "NA", "N/A", "NULL", "null", "NaN", "nan", "None", "n/a"]
 
 
+def _odd(code: Column) -> Column:
+    """A character code that is no printable ASCII character; 0 stands for an empty text."""
+    return (code <= 32) | (code >= 127)
+
+
 def strip(text: Column) -> Column:
-    """Remove white space of every kind, tabs included, from both ends."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """Remove white space of every kind, tabs included, from both ends.
+
+    Plain blanks are trimmed first; the long character list is only consulted
+    if an end then still shows something other than printable ASCII.
+    """
+    inner = F.trim(text)
+    odd_end = _odd(F.ascii(inner)) | _odd(F.ascii(F.substring(inner, -1, 1)))
+    return F.when(odd_end, F.btrim(inner, F.lit(WHITE_SPACE))).otherwise(inner)
 
 
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (strip(text) == "")
+    inner = F.trim(text)
+    only_odd = _odd(F.ascii(inner)) & (F.btrim(inner, F.lit(WHITE_SPACE)) == "")
+    return text.isNull() | only_odd
 
 
 def title_case(text: Column) -> Column:

@@ -32,9 +32,11 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def one_row_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The lookup side of a join; reading a repeated key fails the job.
 
-    The check rides on the shuffle by key that the join needs anyway, instead
-    of a separate pass over the lookup table. Null keys cannot match and are
-    left out.
+    The check is part of the join's plan, so the lookup table is read once.
+    It sits on the key, which makes the join shuffle its side anew: both
+    inputs are then plain shuffles, the shape that adaptive execution splits
+    when one key holds a large part of the facts. Null keys cannot match and
+    are left out.
     """
     grouped = (
         df.where(F.col(key).isNotNull())
@@ -58,16 +60,16 @@ def left_lookup(
     """Left join on fact_key = lookup_key that does not pile up null keys.
 
     Rows without a key match nothing, yet a plain shuffle join sends all of
-    them to one partition. A second join key, equal to the first where that is
-    present and spread over spread_by where it is not, distributes them. The
-    equality on the key itself stays, so the result is that of the plain join.
+    them to one partition. Here their join key is a text spread over spread_by
+    instead. The condition that the real key is there keeps such a text from
+    matching, so the result is that of the plain join.
     """
     spread = F.coalesce(
         F.col(fact_key),
         F.concat(F.lit("no key "), F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SPREAD)).cast("string")),
     )
     right = lookup.withColumnRenamed(lookup_key, "_lookup_key")
-    matches = (F.col("_spread_key") == F.col("_lookup_key")) & (F.col("_fact_key") == F.col("_lookup_key"))
+    matches = (F.col("_spread_key") == F.col("_lookup_key")) & F.col("_fact_key").isNotNull()
     if also is not None:
         matches = matches & also
     return (

@@ -29,11 +29,12 @@ def with_approver(transactions: DataFrame, employees: DataFrame) -> DataFrame:
 
 def enrich_transactions(transactions: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:
     """Project, approver and derived columns; one output row per transaction."""
-    joined = with_approver(with_project(transactions, projects), employees)
-    day = parse_date(F.col("transaction_date"))
+    dated = transactions.withColumn("transaction_date", parse_date(F.col("transaction_date")))
+    joined = with_approver(with_project(dated, projects), employees)
+    day = F.col("transaction_date")
     return joined.select(
         *[c for c in transactions.columns if c != "transaction_date"],
-        day.alias("transaction_date"),
+        "transaction_date",
         "project_name",
         "department",
         "approver_name",

@@ -399,7 +399,11 @@ def constraint_violations(star: dict[str, DataFrame], constraints: dict = CONSTR
 
 
 class Star:
-    """The tables of the star schema with their surrogate keys, each built on first use."""
+    """The tables of the star schema with their surrogate keys, each built on first use.
+
+    Without a calendar range the date dimension spans the transactions, which
+    takes a pass over them.
+    """
 
     def __init__(
         self,
@@ -407,7 +411,9 @@ class Star:
         clean_employees: Callable[[], DataFrame],
         history: DataFrame,
         transactions: DataFrame,
+        calendar: tuple[dt.date, dt.date] | None = None,
     ) -> None:
+        self._calendar = calendar
         self._projects = clean_projects
         self._employees = clean_employees
         self._history = history
@@ -415,7 +421,9 @@ class Star:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dim_date_for(self._transactions)
+        if self._calendar is None:
+            return dim_date_for(self._transactions)
+        return build_dim_date(self._transactions.sparkSession, *self._calendar)
 
     @cached_property
     def dim_project(self) -> DataFrame:
@@ -463,11 +471,12 @@ class NaturalKeyStar(Star):
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
-        return self._transactions.select(
+        dated = self._transactions.withColumn("_day", parse_date(F.col("transaction_date")))
+        return dated.select(
             "transaction_id",
             F.col("project_id").alias("project_key"),
             F.col("vendor_id").alias("vendor_key"),
-            date_key(parse_date(F.col("transaction_date"))).alias("date_key"),
+            date_key(F.col("_day")).alias("date_key"),
             F.col("amount").cast("decimal(14,2)").alias("amount"),
             "currency", "category", "payment_status", "invoice_ref",
         )

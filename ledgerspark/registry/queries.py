@@ -23,6 +23,8 @@ from ledgerspark.streaming import events as st
 AS_OF = dt.date(2026, 9, 16)
 # the test tables have no termination date: five years after hiring, for inactive employees
 EMPLOYED_MONTHS = 60
+# the test tables begin before the default calendar does
+CALENDAR = (dt.date(1990, 1, 1), wh.CALENDAR_END)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,7 +85,7 @@ class Inputs:
     @cached_property
     def star(self) -> wh.Star:
         return wh.NaturalKeyStar(
-            self.clean_projects, lambda: self.clean_employees, self.history, self.transactions
+            self.clean_projects, lambda: self.clean_employees, self.history, self.transactions, CALENDAR
         )
 
     @cached_property
