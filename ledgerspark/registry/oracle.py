@@ -276,6 +276,10 @@ oracle("t_amount_aed", """
 oracle("t_year_month", "select transaction_id, strftime(day, '%Y-%m') as transaction_year_month from dated")
 oracle("v_drop_null_keys", "select event_id, user_id, event_type from good_events")
 oracle("v_dedup_first", f"{EVENT_OUT} from platform_events")
+oracle("v_counts", """
+    select 2 * count(*) as read_rows, 2 * count(*) filter (where user_id is null) as missing_id_rows,
+      count(*) filter (where user_id is not null) as copy_rows,
+      count(*) filter (where user_id is not null) as kept_rows from platform_events""")
 oracle("v_date_parts", """
     select event_id, cast(cast(ts as date) as varchar) as event_date, hour(ts) as event_hour,
       strftime(ts, '%Y-%m') as event_month from platform_events""")

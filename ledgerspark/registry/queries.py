@@ -414,6 +414,11 @@ def v_dedup_first(x: Inputs) -> DataFrame:
 also("w_dedup", "v_dedup_first")
 
 
+@query
+def v_counts(x: Inputs) -> DataFrame:
+    return ev.validation_counts(event_copies(x))
+
+
 @query
 def v_date_parts(x: Inputs) -> DataFrame:
     return ev.with_date_parts(x.events).select("event_id", "event_date", "event_hour", "event_month")

@@ -76,6 +76,12 @@ def test_parquet_by_partition(spark, tmp_path):
     assert len(list((tmp_path / "s").glob("*.parquet"))) == 1
 
 
+def test_empty_tables_are_written_and_counted(spark, tmp_path):
+    for name, df in {"none": spark.createDataFrame([], "a int"), "filtered": spark.range(5).where("id > 9")}.items():
+        assert sinks.write_parquet(df, name, str(tmp_path)) == 0
+        assert spark.read.parquet(str(tmp_path / name)).count() == 0
+
+
 def test_staging_uses_the_named_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = stage_table(spark.range(5), "five")
