@@ -17,7 +17,7 @@ from ledgerspark.plans.events import (
     user_activity_summary,
     valid_events,
 )
-from ledgerspark.plans.quality import enforce_gate, run_all
+from ledgerspark.plans.quality import enforce_gate, log_failed_checks, run_all
 from ledgerspark.plans.report import run_report
 from ledgerspark.sources.files import read_employees, read_events, read_projects, read_transactions
 from ledgerspark.sources.sinks import write_csv, write_parquet
@@ -56,14 +56,17 @@ def run_batch_etl(
     """Check, gate, clean, enrich, write; returns the run report.
 
     The checks see the raw text, so a date that does not parse is reported. The
-    cleaned tables are staged, then written as CSV from there.
+    files are parsed once into staged tables, of which each check reads the
+    columns it needs; the cleaned tables are staged too, then written as CSV.
     """
-    raw = {
+    read = {
         "projects": read_projects(spark, projects_csv),
         "employees": read_employees(spark, employees_csv),
         "transactions": read_transactions(spark, transactions_json, lines=json_lines),
     }
+    raw = {name: stage_table(df, f"raw-{name}") for name, df in read.items()}
     checks = stage_table(run_all(raw, as_of), "dq-checks")
+    log_failed_checks(checks)
     enforce_gate(checks)
 
     projects = stage_table(clean_projects(raw["projects"]), "clean-projects")
