@@ -252,3 +252,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     return signed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of docs but those whose document links, directly or not, with one of a smaller doc_id; all columns."""
+    later = near_duplicates(docs, width, num, den).where("doc_id != component_id").select(F.col("doc_id").alias("_later")).distinct()
+    return docs.join(later, docs["doc_id"] == later["_later"], "left_anti")
