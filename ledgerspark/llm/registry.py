@@ -95,23 +95,11 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
-    "op8_exact_dedup": """
-        with n as (
-            select doc_id, length(coalesce(text, '')) as size,
-                regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as body
-            from documents
-        )
-        select doc_id, first(doc_id) over w as keep_id, count(*) over (partition by body) as group_size,
-            doc_id = first(doc_id) over w as kept, sha256(body) as text_sha256
-        from n window w as (partition by body order by size desc, doc_id rows between unbounded preceding and unbounded following)
-    """,
-    # a vector's component is found by closing the links over at most as many steps as there are vectors
-    "op4_grid_join": """
+    "op4_grid_join": r"""
         with recursive v as (
-            select vec_id, list_transform(embedding, x -> x::double) as e from embeddings
-            where embedding is not null and len(embedding) > 0
-                and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-                and len(list_filter(embedding, x -> x <> 0)) > 0
+            select vec_id, [x::double for x in embedding] as e from embeddings
+            where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+                and len([x for x in embedding if x <> 0]) > 0
         ),
         link as (
             select a.vec_id as a, b.vec_id as b from v a join v b
@@ -122,9 +110,77 @@ SQL: dict[str, str] = {
             union
             select r.vec_id, l.b from reach r join link l on l.a = r.other
         ),
-        part as (select vec_id, min(other) as component_id from reach group by vec_id)
-        select p.vec_id, (select count(*) from link l where l.a = p.vec_id) as n_links, p.component_id,
-            p.vec_id = p.component_id as kept
-        from part p
+        part as (select vec_id, min(other) as component_id from reach group by vec_id),
+        many as (select a, count(*) as n from link group by a)
+        select p.vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from part p left join many on a = vec_id
+    """,
+    "op5_parity_join": r"""
+        with recursive w as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+            ) as words from documents
+        ),
+        s as (
+            select doc_id, list_distinct(case when len(words) = 0 then [] when len(words) < 3 then [array_to_string(words, ' ')]
+                else [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)] end) as shingles
+            from w
+        ),
+        e as (select doc_id, len(shingles) as n, unnest(shingles) as shingle from s),
+        both_have as (
+            select x.doc_id as a, y.doc_id as b, any_value(x.n) as n, any_value(y.n) as m, count(*) as same
+            from e x join e y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by all
+        ),
+        link as (select a, b from both_have where 100 * same >= 90 * (n + m - same)),
+        reach as (
+            select doc_id, doc_id as other from documents
+            union
+            select r.doc_id, l.b from reach r join link l on l.a = r.other
+        )
+        select doc_id, len(shingles)::bigint as n_shingles, (select min(other) from reach r where r.doc_id = s.doc_id) as component_id
+        from s
+    """,
+    "op8_exact_dedup": r"""
+        with n as (
+            select doc_id, length(coalesce(text, '')) as size,
+                regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body
+            from documents
+        )
+        select doc_id, first(doc_id) over w as keep_id, count(*) over (partition by body) as group_size,
+            doc_id = first(doc_id) over w as kept, sha256(body) as text_sha256
+        from n window w as (partition by body order by size desc, doc_id rows between unbounded preceding and unbounded following)
+    """,
+    "op9_chat_templates": r"""
+        with t as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all
+            select -1, i, ['user', 'assistant'][i + 1], '</s>[INST] ok [/INST]' from range(2) r(i)
+        ),
+        c as (
+            select *, case role when 'user' then 18 when 'system' then 16 when 'assistant' then 20
+                else 32 + length(role) + len(regexp_extract_all(role, '\\|</?s>|\[/?(?:INST|GEN|SYS|ROLE|TURN)\]')) end
+                + length(text) + len(regexp_extract_all(text, '\\|</?s>|\[/?(?:INST|GEN|SYS|ROLE|TURN)\]')) as chars
+            from t
+        )
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+            coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), '')) as loss_sha256,
+            sum(chars)::bigint as formatted_chars
+        from c group by conv_id
+    """,
+    "op10_warc_archives": r"""
+        with p as (
+            select page_id, encode(coalesce(html, '')) as body, min(page_id) over (partition by coalesce(html, '')) as first_id from pages
+        ),
+        h as (select *, upper(sha1(body)) as hex from p)
+        select page_id, octet_length(body)::bigint as payload_bytes,
+            array_to_string([
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    1 + ((('0x' || substr(hex, 5 * (i // 4)::int + 1, 5))::bigint >> (15 - 5 * (i % 4))) & 31)::int, 1)
+                for i in range(32)
+            ], '') as payload_digest,
+            case when page_id = first_id then 'response' else 'revisit' end as record_type,
+            case when page_id <> first_id then first_id end as refers_to
+        from h
     """,
 }
