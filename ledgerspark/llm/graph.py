@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerspark.staging import stage_table
+from ledgerspark.llm.tables import stage
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -21,7 +21,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Links are undirected, may repeat and may be loops; rows with a null end are no links. An empty table gives
     an empty result.
     """
-    edges = stage_table(
+    edges = stage(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
         "links",
     )
@@ -32,7 +32,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(nearest, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(lowest, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = stage_table(small.unionByName(lowest.select("u", F.col("low").alias("v"))).distinct(), "links")
+        edges = stage(small.unionByName(lowest.select("u", F.col("low").alias("v"))).distinct(), "links")
         after = _fingerprint(edges)
         if after == before:
             break

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.llm.graph import components
-from ledgerspark.staging import stage_table
+from ledgerspark.llm.tables import scratch, stage
 
 #: Leading principal axes of the grid.
 AXES = 8
@@ -169,9 +169,14 @@ def cosine_links(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     vec_id that comes with several vectors links with all that any of them does.
     component_id is the smallest vec_id that links reach; kept is vec_id = component_id. An empty table stays empty.
     """
+    with scratch(vectors.sparkSession):
+        return stage(_cosine_links(vectors, cosine), "grid-result", keep=True)
+
+
+def _cosine_links(vectors: DataFrame, cosine: float) -> DataFrame:
     eps = math.sqrt(2 - 2 * cosine) + _SLACK
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding"))
-    valid = stage_table(rows.mapInArrow(_unit, "vec_id bigint, dims int, digest binary, unit array<double>"), "grid-vectors")
+    valid = stage(rows.mapInArrow(_unit, "vec_id bigint, dims int, digest binary, unit array<double>"), "grid-vectors")
     groups = valid.groupBy("digest", "dims").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     result = rows.select("vec_id")
     sample = valid.select("vec_id", "digest", "dims", "unit").orderBy(F.xxhash64("digest")).limit(FIT_ROWS).collect()
@@ -186,13 +191,13 @@ def cosine_links(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     axes = principal_axes(fitted, min(AXES, width))
 
     distinct = valid.join(groups, ["digest", "dims"]).where("vec_id = rep").dropDuplicates(["digest", "dims"])
-    placed = stage_table(
+    placed = stage(
         distinct.select("rep", "copies", "dims", "unit")
         .mapInArrow(partial(_project, axes=axes, eps=eps), "rep bigint, copies bigint, dims int, unit array<double>, cell array<int>"),
         "grid-cells",
     )
     packed = "reps array<bigint>, copies array<bigint>, dims array<int>, units binary, low array<double>, high array<double>"
-    intervals = stage_table(
+    intervals = stage(
         placed.repartitionByRange("cell", "rep").sortWithinPartitions("cell", "rep").drop("cell")
         .mapInArrow(partial(_intervals, axes=axes), packed).withColumn("interval", F.monotonically_increasing_id()),
         "grid-intervals",
@@ -216,7 +221,7 @@ def cosine_links(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     def side(name: str) -> DataFrame:
         return intervals.select(F.col("interval").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("reps", "copies", "dims", "units")))
 
-    found = stage_table(
+    found = stage(
         meeting.join(side("a"), "a").join(side("b"), "b")
         .mapInArrow(partial(_link, axes=axes, cosine=cosine, eps=eps), "rep bigint, links bigint, root bigint"),
         "grid-links",

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from functools import partial
+from functools import partial, reduce
+from itertools import product
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerspark.staging import stage_table
 
@@ -104,13 +106,16 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str]) -> tupl
     labels has doc_id and a boolean column per category; rows with nulls, ids that repeat and ids without a text are
     not used. What reaches the driver is bounded: the words, and of each sampled row the places of its words.
     """
-    combination = Window.partitionBy(*categories).orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = stage_table(
-        labels.select("doc_id", *categories).dropna().groupBy("doc_id").agg(*(F.max(c).alias(c) for c in categories), F.count(F.lit(1)).alias("_n"))
-        .where("_n = 1").drop("_n").withColumn("_rank", F.row_number().over(combination))
-        .where(F.col("_rank") <= SAMPLE_PER_CLASS).drop("_rank"),
-        "toxicity-sample",
+    usable = (
+        labels.select("doc_id", *categories).dropna().groupBy("doc_id")
+        .agg(*(F.max(c).alias(c) for c in categories), F.count(F.lit(1)).alias("_n")).where("_n = 1").drop("_n")
     )
+    parts = [
+        usable.where(reduce(and_, (F.col(c) == F.lit(v) for c, v in zip(categories, values, strict=True))))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_CLASS)
+        for values in product((False, True), repeat=len(categories))
+    ]
+    sample = stage_table(reduce(DataFrame.unionByName, parts), "toxicity-sample")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(sample.select("doc_id")), "doc_id")
     held = stage_table(
         texts.mapInArrow(_split, "doc_id bigint, words array<string>").groupBy("doc_id").agg(F.first("words").alias("words"))
