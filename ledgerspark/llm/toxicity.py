@@ -47,10 +47,10 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 def fit_linear(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 150) -> np.ndarray:
     """Weights and, last, intercept of a ridge-penalised logistic regression, classes weighted alike.
 
-    Accelerated gradient steps of a fixed size; without both classes the share of the present one is returned.
+    Accelerated gradient steps of a fixed size. Without both classes there is nothing to tell apart: never is predicted.
     """
-    if y.min(initial=1) == y.max(initial=0):
-        return np.append(np.zeros(x.shape[1]), 30.0 if len(y) and y[0] else -30.0)
+    if not len(y) or y.min() == y.max():
+        return np.append(np.zeros(x.shape[1]), -30.0)
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weight = np.where(y, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())) * len(y)
     # largest eigenvalue of x'x by power iterations: bounds the curvature
