@@ -137,24 +137,25 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     by a hash of id and digest, so equal payloads do not meet in one archive. An empty table gives an empty folder.
     """
     html = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", html.alias("html"), F.unhex(F.sha2(html, 256)).alias("digest"), F.octet_length(html).alias("bytes"))
-    narrow = rows.select("page_id", "digest", "bytes")
+    name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    rows = pages.select("page_id", name.alias("name"), "url", html.alias("html"), F.unhex(F.sha2(html, 256)).alias("digest"), F.octet_length(html).alias("bytes"))
+    narrow = rows.select("page_id", "name", "digest", "bytes")
     groups = (
         narrow.where(F.col("bytes") >= least_bytes).groupBy("digest")
         .agg(F.min(F.struct("page_id")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
     )
     later = (
         narrow.join(groups, "digest").where(~F.col("page_id").eqNullSafe(F.col("first.page_id")))
-        .select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), F.coalesce(F.col("first.page_id").cast("string"), F.lit("")).alias("refers_to"))
-        .distinct()
+        .select("name", "digest", F.coalesce(F.col("first.page_id").cast("string"), F.lit("")).alias("refers_to")).distinct()
     )
     total = narrow.agg(F.sum("bytes")).first()[0] or 0
     archives = max(1, math.ceil(total / archive_bytes))
-    described = rows.join(
-        later, rows["page_id"].eqNullSafe(later["_page"]) & (rows["digest"] == later["_digest"]), "left"
-    ).repartition(archives, F.xxhash64("page_id", "digest"))
+    # both sides are dealt out alike, so payloads travel once; name and digest together are as good as unique
+    described = rows.repartition(archives, "name", "digest").join(
+        later.repartition(archives, "name", "digest").hint("merge"), ["name", "digest"], "left"
+    )
     (
-        described.select(F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), "url", "html", "refers_to")
+        described.select("name", "url", "html", "refers_to")
         .mapInArrow(_write, "frame binary").select(F.col("frame").cast("string").alias("frame"))
         .write.option("lineSep", EMPTY_FRAME).text(path)
     )
