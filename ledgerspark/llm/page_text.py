@@ -193,14 +193,16 @@ def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return head + [(i + start, j + start) for i, j in inner] + tail
 
 
-def main_text(lines: list[tuple[str, str]], shared: set[int]) -> str:
-    """The lines that stay: the marked article, or else what is neither shared nor named as boilerplate."""
-    article = any(kind == "article" for _, kind in lines)
-    kept = [
-        text for i, (text, kind) in enumerate(lines)
-        if kind == "article" or not article and kind == "" and i not in shared
-    ]
-    return "\n\n".join(kept)
+def candidate_lines(lines: list[tuple[str, str]]) -> list[tuple[int, str]]:
+    """The lines that may stay: the marked article (place -1, as sharing does not matter there), else all that the
+    markup does not name as boilerplate, with their places."""
+    if any(kind == "article" for _, kind in lines):
+        return [(-1, text) for text, kind in lines if kind == "article"]
+    return [(i, text) for i, (text, kind) in enumerate(lines) if not kind]
+
+
+def main_text(candidates: list[tuple[int, str]], shared: set[int]) -> str:
+    return "\n\n".join(text for place, text in candidates if place not in shared)
 
 
 def _hash(text: str) -> int:
@@ -223,16 +225,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.string())]))
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
     for batch in batches:
-        lines = [[{"text": t, "kind": k} for t, k in page_lines(p.as_py())] for p in batch.column(0)]
+        lines = [[{"place": i, "text": t} for i, t in candidate_lines(page_lines(p.as_py()))] for p in batch.column(0)]
         yield pa.RecordBatch.from_arrays([pa.array(lines, kind), *batch.columns[1:]], names=["lines", *batch.schema.names[1:]])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [
-            main_text([(x["text"], x["kind"]) for x in lines], set(shared or ()))
+            main_text([(x["place"], x["text"]) for x in lines], set(shared or ()))
             for lines, shared in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
         ]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
@@ -249,20 +251,18 @@ def extract_text(pages: DataFrame) -> DataFrame:
     url, page = F.col("url"), F.coalesce("html", F.lit(""))
     keyed = pages.select(
         page.alias("page"), F.col("page_id").cast("bigint").alias("page_id"), url,
-        F.sha2(F.concat_ws("\n", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.coalesce(url, F.lit("-")), page), 256).alias("key"),
+        F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.coalesce(url, F.lit("-")), page))).alias("key"),
     )
     host, path = (F.try_parse_url(url, F.lit(part)) for part in ("HOST", "PATH"))
-    narrow = (
-        keyed.select("page", "page_id", "key", F.lower(host).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
-        .where("host is not null and host != ''")
-        .mapInArrow(_hashes, "lines array<bigint>, page_id bigint, key string, host string, path string")
-        .dropDuplicates(["key"])
+    places = (
+        keyed.select("page_id", "key", F.lower(host).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
+        .where("host is not null and host != ''").dropDuplicates(["key"])
     )
-    ordered = add_dense_key(narrow, ["host", "path", "page_id", "key"], "place")
+    ordered = add_dense_key(places, ["host", "path", "page_id", "key"], "place")
 
     def neighbour(step: int, name: str) -> DataFrame:
         return ordered.select(
-            (F.col("place") + step).alias("place"), F.col("host").alias("host"), F.col("path").alias(f"{name}_path"), F.col("lines").alias(name)
+            (F.col("place") + step).alias("place"), "host", F.col("path").alias(f"{name}_path"), F.col("key").alias(name)
         )
 
     def alike(other: str) -> Column:
@@ -273,11 +273,17 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     paired = (
         ordered.join(neighbour(1, "earlier"), ["place", "host"], "left").join(neighbour(-1, "later"), ["place", "host"], "left")
-        .select("key", "lines", F.when(alike("later_path") > alike("earlier_path"), F.col("later")).otherwise(F.col("earlier")).alias("other"))
+        .select("key", F.when(alike("later_path") > alike("earlier_path"), F.col("later")).otherwise(F.col("earlier")).alias("other_key"))
+        .where("other_key is not null")
     )
-    shared = paired.mapInArrow(_shared, "key string, shared array<int>")
+    # lines travel once by their own key and once to their neighbour
+    hashed = keyed.select("page", "key").mapInArrow(_hashes, "lines array<bigint>, key binary").dropDuplicates(["key"])
+    both = paired.join(hashed, "key").join(
+        hashed.select(F.col("key").alias("other_key"), F.col("lines").alias("other")), "other_key"
+    ).select("key", "lines", "other")
+    shared = both.mapInArrow(_shared, "key binary, shared array<int>")
     parsed = keyed.select("page", "page_id", "url", "key").mapInArrow(
-        _lines, "lines array<struct<text:string,kind:string>>, page_id bigint, url string, key string"
+        _lines, "lines array<struct<place:int,text:string>>, page_id bigint, url string, key binary"
     )
     return (
         parsed.join(shared, "key", "left").select("page_id", "url", "lines", "shared")
