@@ -24,7 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 #: Words of a block at most, but for a single document that has more.
-BLOCK_WORDS = 8_000_000
+BLOCK_WORDS = 3_000_000
+#: Encoded words that a task holds before it sends them back to their blocks.
+RETURN_WORDS = 200_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -85,7 +87,13 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, pa.Di
         at += part.num_rows
 
 
+def _frugal() -> None:
+    """Freed Arrow buffers go back to the system at once: batches are large, and workers share an executor's memory."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _frugal()
     for batch in batches:
         for _, _, words, name in _blocks(batch):
             n = len(words.dictionary)
@@ -98,11 +106,10 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _frugal()
     for batch in batches:
         for ids, lengths, words, name in _blocks(batch):
-            numbers = words.indices.to_numpy(zero_copy_only=False).astype("<u4")
-            planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T)  # bytes of one weight together: smaller
-            packed = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+            packed = _squeeze(words.indices.to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                  pa.array([lengths], pa.list_(pa.int64())), pa.array([packed], pa.binary())],
@@ -110,34 +117,82 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _squeeze(numbers: np.ndarray) -> bytes:
+    """32-bit numbers with the bytes of one weight together, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsqueeze(packed: bytes, count: int) -> np.ndarray:
+    planes = pa.decompress(packed, decompressed_size=4 * count, codec="zstd", asbytes=True) if count else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes) -> Iterator[pa.RecordBatch]:
-    ranks, last = parse_ranks(vocabulary), (None, b"")
+    """Of words in sorted order: per block, the words' numbers, counts of ids and ids."""
+    _frugal()
+    ranks, last = parse_ranks(vocabulary), (None, [])
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def send() -> pa.RecordBatch:
+        blocks, numbers, sizes = (np.concatenate([h[i] for h in held]) for i in range(3))
+        flat = np.concatenate([h[3] for h in held])
+        starts = np.cumsum(sizes) - sizes
+        held.clear()
+        order = np.lexsort((numbers, blocks))
+        blocks, numbers, sizes, starts = blocks[order], numbers[order], sizes[order], starts[order]
+        cuts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])).tolist()
+        rows = []
+        for i, j in zip(cuts, [*cuts[1:], len(blocks)], strict=True):
+            many = sizes[i:j]
+            reach = np.cumsum(many)
+            ids = flat[np.repeat(starts[i:j] - (reach - many), many) + np.arange(int(reach[-1]))]
+            rows.append((blocks[i], j - i, len(ids), _squeeze(np.diff(numbers[i:j], prepend=0)), _squeeze(many), _squeeze(ids)))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+            names=["block", "n_words", "n_ids", "numbers", "sizes", "ids"],
+        )
+
     for batch in batches:
+        if not batch.num_rows:
+            continue
         words = pc.dictionary_encode(batch.column(2))
         known = []
         for word in words.dictionary.to_pylist():  # sorted rows: only the first can be known from the batch before
             if word != last[0]:
-                last = (word, np.array(encode_word(word.encode(), ranks), "<i4").tobytes())
+                last = (word, encode_word(word.encode(), ranks))
             known.append(last[1])
-        ids = pa.array(known, pa.binary()).take(words.indices)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=["block", "number", "ids"])
+        each = np.fromiter(map(len, known), np.int64, len(known))
+        flat = np.array([i for ids in known for i in ids], np.int64)
+        use = words.indices.to_numpy()
+        sizes = each[use]
+        reach = np.cumsum(sizes)
+        ids = flat[np.repeat((np.cumsum(each) - each)[use] - (reach - sizes), sizes) + np.arange(int(reach[-1]))]
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), sizes, ids))
+        if sum(len(h[0]) for h in held) >= RETURN_WORDS:
+            yield send()
+    if held:
+        yield send()
 
 
 def _assemble(documents: pa.Table, words: pa.Table) -> pa.Table:
-    order = np.argsort(words["number"].to_numpy(), kind="stable")
-    numbers = words["number"].to_numpy()[order]
-    first = np.append(True, numbers[1:] != numbers[:-1]) if len(numbers) else np.empty(0, bool)
-    known = words["ids"].combine_chunks().take(pa.array(order[first])) if len(numbers) else pa.array([], pa.binary())
-    sizes = pc.binary_length(known).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-    flat = np.frombuffer(b"".join(known.to_pylist()), "<i4")
-    starts = np.cumsum(sizes) - sizes
+    _frugal()
+    parts = [
+        (np.cumsum(_unsqueeze(r["numbers"], r["n_words"]).astype(np.int64)), _unsqueeze(r["sizes"], r["n_words"]).astype(np.int64), _unsqueeze(r["ids"], r["n_ids"]))
+        for r in words.to_pylist()
+    ]
+    numbers, many_of, flat = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.int64) for i in range(3))
+    flat = flat.astype("<i4")
+    total_words = int(numbers.max()) + 1 if len(numbers) else 0
+    sizes, starts = np.zeros(total_words, np.int64), np.zeros(total_words, np.int64)
+    sizes[numbers], starts[numbers] = many_of, np.cumsum(many_of) - many_of  # blocks of one name repeat the same words
     out_ids, out_tokens = [], []
     for doc_ids, lengths, packed in zip(documents["doc_ids"], documents["lengths"], documents["packed"], strict=True):
         lengths = lengths.values.to_numpy()
         total = int(lengths.sum())
-        planes = pa.decompress(packed.as_py(), decompressed_size=4 * total, codec="zstd", asbytes=True) if total else b""
-        mine = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-        if total and int(mine.max()) >= len(sizes):
+        mine = _unsqueeze(packed.as_py(), total)
+        if total and (int(mine.max()) >= total_words or not sizes[mine].all()):
             raise RuntimeError("a block's words are missing: the documents were dealt out differently in two scans")
         out_ids += doc_ids.as_py()
         at = 0
@@ -170,7 +225,9 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str) -> DataFrame:
     encoded = (
         split.mapInArrow(_words, "block bigint, number int, word string")
         .repartition("word").sortWithinPartitions("word")
-        .mapInArrow(partial(_encode, vocabulary=vocabulary), "block bigint, number int, ids binary")
+        .mapInArrow(
+            partial(_encode, vocabulary=vocabulary), "block bigint, n_words int, n_ids int, numbers binary, sizes binary, ids binary"
+        )
     )
     documents = split.mapInArrow(_documents, "block bigint, doc_ids array<bigint>, lengths array<bigint>, packed binary")
     return (
@@ -181,6 +238,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str) -> DataFrame:
 
 
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary: bytes) -> Iterator[pa.RecordBatch]:
+    _frugal()
     ranks = parse_ranks(vocabulary)
     table = [b""] * (1 + max(ranks.values(), default=-1))
     for token, rank in ranks.items():
