@@ -32,7 +32,7 @@ def base_spans(text):
 
 def test_secrets(spark):
     key, hexa = "AKIA" + "Q7" * 8, "0123456789abcdef" * 3
-    planted = [f"word{random.Random(i).randrange(9)} token: {base64.b64encode(hashlib.sha256(bytes([i])).digest()).decode()[:40]}" for i in range(60)]
+    planted = [f"word{random.Random(i).randrange(9)} token: {base64.b64encode(hashlib.sha256(str(i).encode()).digest()).decode()[:40]}" for i in range(600)]  # enough to know random pairs
     plain = ["ordinary_identifier internationalization characteristically some_longer_name"] * 40
     free = "é here wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY end"
     texts = [*ODD, f"{key} {hexa}", "password=short", "Password = \"é\" API_KEY:'abcdefgh1' secret: token: abcdefghij", key + hexa, *planted, *plain, free]
