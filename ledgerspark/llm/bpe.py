@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerspark.llm.tables import frugal
+
 #: Words of a block at most, but for a single document that has more.
 BLOCK_WORDS = 3_000_000
 #: Encoded words that a task holds before it sends them back to their blocks.
@@ -87,13 +89,8 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, pa.Di
         at += part.num_rows
 
 
-def _frugal() -> None:
-    """Freed Arrow buffers go back to the system at once: batches are large, and workers share an executor's memory."""
-    pa.set_memory_pool(pa.system_memory_pool())
-
-
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _frugal()
+    frugal()
     for batch in batches:
         for _, _, words, name in _blocks(batch):
             n = len(words.dictionary)
@@ -106,7 +103,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _frugal()
+    frugal()
     for batch in batches:
         for ids, lengths, words, name in _blocks(batch):
             packed = _squeeze(words.indices.to_numpy(zero_copy_only=False))
@@ -130,7 +127,7 @@ def _unsqueeze(packed: bytes, count: int) -> np.ndarray:
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes) -> Iterator[pa.RecordBatch]:
     """Of words in sorted order: per block, the words' numbers, counts of ids and ids."""
-    _frugal()
+    frugal()
     ranks, last = parse_ranks(vocabulary), (None, [])
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -177,7 +174,7 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes) -> Iterator[pa
 
 
 def _assemble(documents: pa.Table, words: pa.Table) -> pa.Table:
-    _frugal()
+    frugal()
     parts = [
         (np.cumsum(_unsqueeze(r["numbers"], r["n_words"]).astype(np.int64)), _unsqueeze(r["sizes"], r["n_words"]).astype(np.int64), _unsqueeze(r["ids"], r["n_ids"]))
         for r in words.to_pylist()
@@ -238,7 +235,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str) -> DataFrame:
 
 
 def _decode(batches: Iterator[pa.RecordBatch], vocabulary: bytes) -> Iterator[pa.RecordBatch]:
-    _frugal()
+    frugal()
     ranks = parse_ranks(vocabulary)
     table = [b""] * (1 + max(ranks.values(), default=-1))
     for token, rank in ranks.items():

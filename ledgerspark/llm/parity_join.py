@@ -26,14 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerspark.llm.graph import components
-from ledgerspark.llm.tables import scratch, stage
+from ledgerspark.llm.tables import frugal, scratch, stage
 
 BITS = 1024
 #: Members of an open group that are compared with each other in one cell.
 GROUP_BLOCK = 1024
-#: Documents, and characters of each, in which common shingles are looked for, and how many of those are used.
-SAMPLE_ROWS, SAMPLE_CHARS, COMMON_SHINGLES = 8192, 20_000, 100_000
-_SIGNATURE = "doc_id bigint, text string, n_shingles bigint, digest bigint, bits array<bigint>, keys array<bigint>"
+#: About so many documents, chosen by a hash, in which common shingles are looked for, and how many of those are used.
+SAMPLE_ROWS, COMMON_SHINGLES = 8192, 100_000
+_SIGNATURE = "doc_id bigint, n_shingles bigint, digest bigint, bits array<bigint>, keys array<bigint>"
+_SIGNATURE_AND_TEXT = f"{_SIGNATURE}, text string"
 _U = np.uint64
 _NONE = np.empty(0, _U)
 
@@ -109,7 +110,10 @@ def bit_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch], width: int, num: int, den: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sign(
+    batches: Iterator[pa.RecordBatch], width: int, num: int, den: int, common: np.ndarray, with_text: bool
+) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
@@ -123,21 +127,29 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int, num: int, den: int, com
                 )
                 for i in (2, 3)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), *lists],
-                names=["doc_id", "text", "n_shingles", "digest", "bits", "keys"],
-            )
+            text = {"text": part.column(1)} if with_text else {}
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": part.column(0),
+                "n_shingles": pa.array([r[0] for r in rows], pa.int64()),
+                "digest": pa.array([r[1] for r in rows], pa.int64()),
+                "bits": lists[0],
+                "keys": lists[1],
+                **text,
+            })
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         for text in batch.column(0):
             yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text.as_py(), width).view(np.int64))], names=["shingle"])
 
 
 def _common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles that several documents of a bounded sample hold; they only decide which words go first."""
-    sample = docs.orderBy(F.xxhash64("doc_id")).limit(SAMPLE_ROWS).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    """Shingles that several documents of a sample hold; they only decide which words go first."""
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < int(share * (1 << 32))
+    sample = docs.where(chosen).select("text")
     held = sample.mapInArrow(partial(_shingles, width=width), "shingle bigint").groupBy("shingle").count().where(F.col("count") >= 4)
     found = held.orderBy(F.desc("count"), "shingle").limit(COMMON_SHINGLES).select("shingle").collect()
     return np.sort(np.array([r[0] for r in found], np.int64).view(_U))
@@ -145,6 +157,7 @@ def _common_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
 def _lead(batches: Iterator[pa.RecordBatch], pairs: bool) -> Iterator[pa.RecordBatch]:
     """Of each batch: its smallest id under each key, or the distinct (smallest id, other id) pairs under any key."""
+    frugal()
     for batch in batches:
         lists = batch.column(1)
         keys = lists.flatten().to_numpy(zero_copy_only=False)
@@ -161,6 +174,7 @@ def _lead(batches: Iterator[pa.RecordBatch], pairs: bool) -> Iterator[pa.RecordB
 
 
 def _verify(batches: Iterator[pa.RecordBatch], width: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         kept, known = [], {}
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -250,6 +264,7 @@ def _across(rows: dict[str, np.ndarray], num: int, den: int, every: bool) -> np.
 
 def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int, every: bool) -> Iterator[pa.RecordBatch]:
     """_across for every cell of sorted rows."""
+    frugal()
     held: pa.Table | None = None
 
     def pairs_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -311,7 +326,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
 
 def _near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     sign = partial(_sign, width=width, num=num, den=den, common=_common_shingles(docs, width))
-    signed = stage(docs.mapInArrow(sign, _SIGNATURE).drop("text"), "parity-sketches")
+    signed = stage(docs.mapInArrow(partial(sign, with_text=False), _SIGNATURE), "parity-sketches")
     keyed = signed.where("doc_id is not null and n_shingles > 0").select("doc_id", "keys")
     inside = keyed.mapInArrow(partial(_lead, pairs=True), "a bigint, b bigint")
     leaders = keyed.mapInArrow(partial(_lead, pairs=False), "key bigint, doc_id bigint")
@@ -319,7 +334,7 @@ def _near_duplicates(docs: DataFrame, width: int, num: int, den: int) -> DataFra
     stars = stage(inside.unionByName(across).distinct(), "parity-stars")
     # all further work is on the documents that met another one under some key
     partners = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id"))).distinct()
-    met = stage(docs.join(partners.hint("merge"), "doc_id").mapInArrow(sign, _SIGNATURE).where("n_shingles > 0"), "parity-met")
+    met = stage(docs.join(partners.hint("merge"), "doc_id").mapInArrow(partial(sign, with_text=True), _SIGNATURE_AND_TEXT).where("n_shingles > 0"), "parity-met")
     links = stage(_verified(stars, met, width, num, den), "parity-links")
     found = components(links)
 

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ledgerspark.llm.tables import frugal
 from ledgerspark.staging import stage_table
 
 #: Labelled rows of each combination of labels that are used for training, at most.
@@ -95,6 +96,7 @@ def apply_chain(x: np.ndarray, models: Sequence[np.ndarray]) -> np.ndarray:
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frugal()
     for batch in batches:
         words = [sorted(words_of(t.as_py())) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=["doc_id", "words"])
@@ -158,6 +160,7 @@ def probabilities(texts: Sequence[str | None], places: dict[str, int], models: l
 
 def _score(batches: Iterator[pa.RecordBatch], places: dict[str, int], models: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The columns of docs, text first, plus _p: the probabilities of all categories, null without any words."""
+    frugal()
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
