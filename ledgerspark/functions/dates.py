@@ -5,10 +5,11 @@ from pyspark.sql import Column, functions as F
 from ledgerspark.functions.text import strip
 
 OPEN_END = "9999-12-31"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
 
 
 def parse_date(text: Column) -> Column:
-    """ISO date or null; a year of five digits does not parse.
+    """The day of an ISO date or date-time, or null; a year of five digits does not parse.
 
     Text of the shape ....-..-.d goes through the cast, which is several times
     faster than a pattern. Everything else is left to the strict pattern.
@@ -20,7 +21,11 @@ def parse_date(text: Column) -> Column:
         & (F.substring(plain, 8, 1) == "-")
         & F.ascii(F.substring(plain, 10, 1)).between(ord("0"), ord("9"))
     )
-    return F.when(iso_shape, plain.try_cast("date")).otherwise(F.try_to_date(strip(text), "yyyy-MM-dd"))
+    inner = strip(text)
+    day_of_time = F.when(inner.rlike(ISO_TIME), inner.try_cast("timestamp_ntz").cast("date"))
+    return F.when(iso_shape, plain.try_cast("date")).otherwise(
+        F.coalesce(F.try_to_date(inner, "yyyy-MM-dd"), day_of_time)
+    )
 
 
 def date_key(day: Column) -> Column:

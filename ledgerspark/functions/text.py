@@ -9,7 +9,10 @@ WHITE_SPACE = (
 )
 
 # Texts that a delimited file uses for "no value".
-MISSING_TOKENS = ["", "NA", "N/A", "NULL", "null", "NaN", "nan", "None", "n/a"]
+MISSING_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def _odd(code: Column) -> Column:

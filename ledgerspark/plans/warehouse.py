@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerspark.functions.dates import OPEN_END, date_key, parse_date
-from ledgerspark.operators.joins import left_lookup
+from ledgerspark.operators.joins import left_lookup, one_row_per_key
 from ledgerspark.operators.ordering import add_dense_key
 from ledgerspark.operators.reshape import metric_rows
 
@@ -215,11 +215,14 @@ FACT_INPUT = [
 def fact_rows(
     transactions: DataFrame, dim_project: DataFrame, dim_vendor: DataFrame, dim_employee: DataFrame
 ) -> DataFrame:
-    """Three left lookups per transaction; a key column of the input is carried along."""
+    """Three left lookups per transaction; a key column of the input is carried along.
+
+    A project or vendor id that repeats in its dimension fails the job, as it would multiply transactions.
+    """
     own_key = [c for c in transactions.columns if c == "transaction_key"]
     dated = transactions.withColumn("transaction_day", parse_date(F.col("transaction_date")))
-    projects = dim_project.select("project_key", F.col("project_id").alias("_project"))
-    vendors = dim_vendor.select("vendor_key", F.col("vendor_id").alias("_vendor"))
+    projects = one_row_per_key(dim_project, "project_id", ["project_key"]).withColumnRenamed("project_id", "_project")
+    vendors = one_row_per_key(dim_vendor, "vendor_id", ["vendor_key"]).withColumnRenamed("vendor_id", "_vendor")
     with_project = left_lookup(dated, projects, "project_id", "_project", "transaction_id")
     with_vendor = left_lookup(with_project, vendors, "vendor_id", "_vendor", "transaction_id")
     return at_version(with_vendor, dim_employee).select(

@@ -17,7 +17,11 @@ def _select(columns: dict[str, str], source: str) -> str:
     return f"select {listed} from {source}"
 
 
-PEOPLE = "customer c join nation n on n.n_nationkey = c.c_nationkey join region r on r.r_regionkey = n.n_regionkey"
+PEOPLE = (
+    "(select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer union all "
+    + _select(td.SUPPLIER_AS_PERSON, "supplier")
+    + ") c join nation n on n.n_nationkey = c.c_nationkey join region r on r.r_regionkey = n.n_regionkey"
+)
 
 CTES = {
     "projects": _select(
@@ -31,11 +35,8 @@ CTES = {
     "history": _select(
         td.HISTORY_COLUMNS,
         "(select o_custkey, o_orderdate, o_orderpriority, o_totalprice, "
-        "row_number() over (partition by o_custkey order by o_orderdate) as rn, "
-        "lag(o_totalprice) over (partition by o_custkey order by o_orderdate) as prev_price, "
-        "lag(o_orderpriority) over (partition by o_custkey order by o_orderdate) as prev_pri "
-        "from (select *, row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc) as d "
-        "from orders where o_custkey%5<3) x where d=1) h where rn<=4",
+        "row_number() over w as rn, lag(o_totalprice) over w as prev_price, lag(o_orderpriority) over w as prev_pri "
+        "from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)) h",
     ),
     "transactions": _select(
         td.TRANSACTION_COLUMNS,
@@ -99,7 +100,8 @@ CTES = {
           effective_date as valid_from,
           coalesce(lead(effective_date) over w, date '9999-12-31') as valid_to,
           lead(effective_date) over w is null as is_current
-        from history window w as (partition by employee_id order by effective_date)""",
+        from history window w as (partition by employee_id
+          order by effective_date, cast(new_salary as decimal(18,4)), new_role, new_level, change_reason)""",
     "versions_no_history": """
         select employee_id, salary, role, level, 'Initial appointment' as change_reason, hire_date as valid_from,
           date '9999-12-31' as valid_to, true as is_current
@@ -119,7 +121,8 @@ CTES = {
     "dim_vendor": """
         select row_number() over (order by vendor_id, vendor_name) as vendor_key, vendor_id, vendor_name
         from (select distinct vendor_id, vendor_name from transactions)""",
-    "dim_employee": "select row_number() over (order by employee_id, valid_from) as employee_key, * from versions",
+    "dim_employee": "select row_number() over (order by employee_id, valid_from, valid_to, salary, role, level, "
+        "change_reason) as employee_key, * from versions",
     "fact": """
         select row_number() over (order by transaction_id) as transaction_key, transaction_id, project_key,
           employee_key, vendor_key, cast(strftime(day, '%Y%m%d') as bigint) as date_key, amount, currency, category,
@@ -304,8 +307,9 @@ oracle("j_unique_key_guard", """
       union all select 'employees_salary_history', 'employee_id', employee_id, count(*) from history group by 3)
     group by dataset, key""")
 oracle("t_unmatched_projects", """
-    select count(*) as unmatched_transactions from transactions t
-    where not exists (select 1 from projects_clean p where p.project_id = t.project_id and p.status = 'Completed')""")
+    select count(*) as unmatched_transactions
+    from (select project_id from transactions union all select project_id from platform_events) t
+    where not exists (select 1 from projects_clean p where p.project_id = t.project_id)""")
 oracle("q_transactions_enriched", """
     select transaction_id, t.project_id, vendor_id, vendor_name, category, cast(amount as double) as amount, currency,
       payment_status, approved_by, invoice_ref, notes, cast(day as varchar) as transaction_date, project_name,

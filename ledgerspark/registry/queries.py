@@ -23,8 +23,6 @@ from ledgerspark.streaming import events as st
 AS_OF = dt.date(2026, 9, 16)
 # the test tables have no termination date: five years after hiring, for inactive employees
 EMPLOYED_MONTHS = 60
-# the test tables begin before the default calendar does
-CALENDAR = (dt.date(1990, 1, 1), wh.CALENDAR_END)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,7 +83,7 @@ class Inputs:
     @cached_property
     def star(self) -> wh.Star:
         return wh.NaturalKeyStar(
-            self.clean_projects, lambda: self.clean_employees, self.history, self.transactions, CALENDAR
+            self.clean_projects, lambda: self.clean_employees, self.history, self.transactions
         )
 
     @cached_property
@@ -468,8 +466,9 @@ def j_unique_key_guard(x: Inputs) -> DataFrame:
 
 @query
 def t_unmatched_projects(x: Inputs) -> DataFrame:
-    """Against the finished projects only, so that some transactions stay unmatched."""
-    return trx.unmatched_projects(x.transactions, x.clean_projects.where("status = 'Completed'"))
+    """Of transactions and events together: all transactions have a project, some events name none."""
+    rows = x.transactions.select("project_id").unionByName(x.events.select("project_id"))
+    return trx.unmatched_projects(rows, x.clean_projects)
 
 
 @query

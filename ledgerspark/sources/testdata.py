@@ -67,6 +67,15 @@ EMPLOYEE_COLUMNS = {
     "else c_custkey%40 end as int)",
 }
 
+# Suppliers in the shape of customers, with keys of their own.
+SUPPLIER_AS_PERSON = {
+    "c_custkey": "1000000000 + s_suppkey",
+    "c_name": "s_name",
+    "c_nationkey": "s_nationkey",
+    "c_acctbal": "s_acctbal",
+    "c_mktsegment": "'PROCUREMENT'",
+}
+
 HISTORY_COLUMNS = {
     "employee_id": "concat('EMP', cast(o_custkey as string))",
     "previous_salary": "cast(10000 + floor(prev_price/10) as decimal(12,2))",
@@ -151,6 +160,18 @@ class TestData:
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         )
 
+    @cached_property
+    def _people(self) -> DataFrame:
+        """Customers, who all have orders, and suppliers, who have none and so no history."""
+        suppliers = self.table("supplier").select(*[F.expr(text).alias(name) for name, text in SUPPLIER_AS_PERSON.items()])
+        nation, region = self.table("nation"), self.table("region")
+        return (
+            self.table("customer")
+            .unionByName(suppliers)
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        )
+
     @cached_property
     def projects(self) -> DataFrame:
         costs = (
@@ -170,30 +191,18 @@ class TestData:
 
     @cached_property
     def employees(self) -> DataFrame:
-        return _mapped(self._customers, EMPLOYEE_COLUMNS)
+        return _mapped(self._people, EMPLOYEE_COLUMNS)
 
     @cached_property
     def salary_history(self) -> DataFrame:
-        """The first four order days of a customer.
-
-        Orders are reduced to one per customer and day first, so the window
-        over a customer holds one row per calendar day at most.
-        """
-        latest = F.max_by(F.struct("o_orderpriority", "o_totalprice"), "o_orderkey")
-        days = (
-            self.table("orders")
-            .where("o_custkey % 5 < 3")
-            .groupBy("o_custkey", "o_orderdate")
-            .agg(latest.alias("o"))
-            .select("o_custkey", "o_orderdate", "o.*")
-        )
-        by_day = Window.partitionBy("o_custkey").orderBy("o_orderdate")
-        ranked = days.select(
+        """Every order is a change of its customer; some customers order twice on one day."""
+        by_day = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+        ranked = self.table("orders").select(
             "*",
             F.row_number().over(by_day).alias("rn"),
             F.lag("o_totalprice").over(by_day).alias("prev_price"),
             F.lag("o_orderpriority").over(by_day).alias("prev_pri"),
-        ).where("rn <= 4")
+        )
         return _mapped(ranked, HISTORY_COLUMNS)
 
     @cached_property

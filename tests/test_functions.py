@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.dates import date_key, hours_between, parse_date, year_month
 from ledgerspark.functions.numeric import percentage
-from ledgerspark.functions.text import WHITE_SPACE, is_blank, strip, title_case
+from ledgerspark.functions.text import WHITE_SPACE, is_blank, null_if_missing_token, strip, title_case
 
 
 def values(spark, texts, expression):
@@ -34,6 +34,15 @@ def test_only_plain_iso_days_parse(spark):
     assert values(spark, texts, parse_date) == list(good.values()) + [None] * len(bad)
 
 
+def test_the_day_of_an_iso_time(spark):
+    texts = ["2020-02-29T10:11:12", "2020-02-29 10:11", "2020-02-29T23:59:59.5", "2021-02-29T10:11:12", "2020-02-29T"]
+    assert values(spark, texts, parse_date) == [dt.date(2020, 2, 29)] * 3 + [None] * 2
+
+
+def test_missing_tokens(spark):
+    assert values(spark, ["#N/A", "<NA>", "-nan", "", "x", None], null_if_missing_token) == [None] * 4 + ["x", None]
+
+
 def test_parsing_equals_the_strict_pattern(spark):
     import random
 

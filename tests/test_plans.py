@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators.transactions import enrich_transactions
 from ledgerspark.plans import questions as qs
-from ledgerspark.registry.queries import CALENDAR, Inputs
+from ledgerspark.registry.queries import Inputs
 from ledgerspark.plans.warehouse import NaturalKeyStar
 from ledgerspark.staging import stage_table
 from tests.helpers import plan
@@ -28,7 +28,7 @@ def loaded(inputs):
 
 @pytest.fixture(scope="module")
 def star(inputs, loaded):
-    return NaturalKeyStar(loaded[0], lambda: loaded[1], inputs.history, loaded[2], CALENDAR)
+    return NaturalKeyStar(loaded[0], lambda: loaded[1], inputs.history, loaded[2])
 
 
 def read_columns(df):

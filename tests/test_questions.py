@@ -90,6 +90,27 @@ def test_monthly_trend(star):
     assert [(r.year_month, r.running_total) for r in last] == [("2021-05", D(100))]
 
 
+def test_a_second_spelling_of_a_vendor_fails(spark, inputs):
+    feed = transactions(
+        spark,
+        {"transaction_id": "a", "vendor_name": "Vendor", "amount": D(1)}, {"transaction_id": "b", "vendor_name": "VENDOR", "amount": D(1)},
+    )
+    natural = wh.NaturalKeyStar(inputs[0], lambda: inputs[1], inputs[2], feed)
+    with pytest.raises(Exception, match="fan out"):
+        qs.vendor_spend(natural.fact_transactions, natural.dim_vendor).collect()
+    built = wh.Star(inputs[0], lambda: inputs[1], inputs[2], feed)
+    with pytest.raises(Exception, match="fan out"):
+        wh.fact_rows(feed, built.dim_project, built.dim_vendor, built.dim_employee).collect()
+
+
+def test_a_day_outside_of_the_calendar_fails(spark, inputs):
+    feed = transactions(spark, {"transaction_id": "a", "transaction_date": "2031-01-01", "amount": D(1)})
+    natural = wh.NaturalKeyStar(inputs[0], lambda: inputs[1], inputs[2], feed)
+    assert [r.year_month for r in qs.monthly_spend(natural.fact_transactions, natural.dim_date).collect()] == ["2031-01"]
+    with pytest.raises(Exception, match="outside of the calendar: 20310101"):
+        qs.monthly_spend(natural.fact_transactions, wh.build_dim_date(spark)).collect()
+
+
 def test_compensation_increases(star):
     got = by(qs.compensation_increases(star.dim_employee), "change_date", "increase_amount", "increase_pct")
     assert got == {dt.date(2020, 1, 1): (D(100), None), dt.date(2021, 1, 1): (D(50), 50.0)}
