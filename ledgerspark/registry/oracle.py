@@ -306,6 +306,7 @@ oracle("j_unique_key_guard", """
       union all select 'employees', 'employee_id', employee_id, count(*) from employees group by 3
       union all select 'employees_salary_history', 'employee_id', employee_id, count(*) from history group by 3)
     group by dataset, key""")
+oracle("j_refused_keys", "select employee_id, count(*) as copies from history group by employee_id having count(*) > 1")
 oracle("t_unmatched_projects", """
     select count(*) as unmatched_transactions
     from (select project_id from transactions union all select project_id from platform_events) t

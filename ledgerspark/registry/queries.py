@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerspark.functions.dates import parse_date, year_month
 from ledgerspark.operators import employees as emp, projects as prj, transactions as trx
-from ledgerspark.operators.joins import key_profile
+from ledgerspark.operators.joins import duplicate_keys, key_profile
 from ledgerspark.operators.ordering import add_dense_key, add_group_rank
 from ledgerspark.operators.reshape import null_counts
 from ledgerspark.plans import events as ev, governance as gov, quality as dq, questions as qs, warehouse as wh
@@ -464,6 +464,12 @@ def j_unique_key_guard(x: Inputs) -> DataFrame:
     )
 
 
+@query
+def j_refused_keys(x: Inputs) -> DataFrame:
+    """The keys at which a lookup in the history would fail, as it would fan out."""
+    return duplicate_keys(x.history, "employee_id")
+
+
 @query
 def t_unmatched_projects(x: Inputs) -> DataFrame:
     """Of transactions and events together: all transactions have a project, some events name none."""
