@@ -51,13 +51,15 @@ def run_batch_etl(
     transactions_json: str,
     out: str,
     as_of: dt.date,
-    json_lines: bool = False,
+    json_lines: bool = True,
 ) -> DataFrame:
     """Check, gate, clean, enrich, write; returns the run report.
 
     The checks see the raw text, so a date that does not parse is reported. The
     files are parsed once into staged tables, of which each check reads the
     columns it needs; the cleaned tables are staged too, then written as CSV.
+    Transactions are JSON lines, which split; an array (json_lines=False) is
+    read by one task per file.
     """
     read = {
         "projects": read_projects(spark, projects_csv),

@@ -101,7 +101,7 @@ def test_batch_run(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     report = run_batch_etl(
         spark, str(folder / "projects.csv"), str(folder / "employees.csv"), str(folder / "transactions.json"), out,
-        dt.date(2026, 9, 16),
+        dt.date(2026, 9, 16), json_lines=False,
     )
     got = {(r.dataset, r.metric): r.value for r in report.collect()}
     assert got["transactions", "raw_rows"] == got["transactions", "clean_rows"] == "2"
