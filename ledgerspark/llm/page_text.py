@@ -4,6 +4,10 @@ Pages are ordered by host and path; each is paired with the neighbour of its hos
 text lines of the two are aligned by a longest common subsequence, and what they share is the site's, not the page's:
 it is deleted. Only hashes of lines travel for that.
 
+Copies would delete each other. So pages of a host with equal lines take one place together, and a neighbour that shares
+nearly all text of either page does not decide: pages that such links chain together are one run, and each of its
+pages is compared with the nearest page before or after the run. A run that has no such page keeps what its markup leaves.
+
 Markup then decides what differencing cannot know. A shared line stays where the page itself marks it as article text,
 because articles quote the same passages; and lines that differ from page to page go where the markup names them as
 menu, advert, form, comment and the like, or where an article is marked and they stand outside of it.
@@ -23,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerspark.operators.ordering import add_dense_key
+from ledgerspark.staging import stage_table
 
 # fixed values: elements and words of the markup
 BLOCKS = frozenset(
@@ -43,6 +48,9 @@ READERS = frozenset("comment comments reply replies related".split())
 # elements whose start ends an open paragraph or item of the same kind
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
+#: Two pages of which either shares this much of its text with the other are near copies.
+COPY_SHARE = 0.9
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|iframe|template)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
@@ -205,30 +213,64 @@ def main_text(candidates: list[tuple[int, str]], shared: set[int]) -> str:
     return "\n\n".join(text for place, text in candidates if place not in shared)
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+def line_hashes(lines: list[tuple[str, str]]) -> list[int]:
+    """48 bits of hash of each line, and below them 16 bits for the length of the text that it may add to the page."""
+    wanted = "article" if any(kind == "article" for _, kind in lines) else ""
+    return [
+        (xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 16 << 16 | (min(len(text), 65_535) if kind == wanted else 0)) - (1 << 63)
+        for text, kind in lines
+    ]
+
+
+def _content(host: str | None, row: bytes, hashes: list[int]) -> bytes:
+    """Equal for pages of a host with equal lines; pages without a host go by their row."""
+    return xxhash.xxh3_128_digest(np.array(hashes, np.int64).tobytes() + (row if host is None else host.encode("utf-8", "surrogatepass")))
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (page, row, host, path, page_id) those with text: lines, whether an article is marked, content, host, path, page_id."""
     for batch in batches:
-        lines = [[_hash(text) for text, _ in page_lines(p.as_py())] for p in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.list_(pa.int64())), *batch.columns[1:]], names=["lines", *batch.schema.names[1:]])
+        pages = [page_lines(p.as_py()) for p in batch.column(0)]
+        lines = [line_hashes(p) for p in pages]
+        marked = [any(kind == "article" for _, kind in p) for p in pages]
+        keys = [_content(*x) for x in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), lines, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lines, pa.list_(pa.int64())), pa.array(marked, pa.bool_()), pa.array(keys, pa.binary()), *batch.columns[2:]],
+            names=["lines", "marked", "key", *batch.schema.names[2:]],
+        ).filter(pa.array([any(x & 0xFFFF for x in a) for a in lines], pa.bool_()))
+
+
+def compare(a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], bool]:
+    """Index pairs of the common lines of two pages, and whether the pages are near copies."""
+    pairs = common_lines([x >> 16 for x in a], [x >> 16 for x in b])
+    near = any(
+        sum(x[p[side]] & 0xFFFF for p in pairs) >= COPY_SHARE * sum(v & 0xFFFF for v in x) for side, x in enumerate((a, b))
+    )
+    return pairs, near
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, common lines' places on the page and on the other one, near) of (place, lines, other)."""
     for batch in batches:
-        shared = [
-            [i for i, _ in common_lines(a, b)] if b else []
-            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared, pa.list_(pa.int32()))], names=["key", "shared"])
+        found = [compare(a, b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        sides = [pa.array([[p[side] for p in pairs] for pairs, _ in found], pa.list_(pa.int32())) for side in (0, 1)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *sides, pa.array([near for _, near in found], pa.bool_())], names=["place", "shared", "other_shared", "near"]
+        )
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
     for batch in batches:
-        lines = [[{"place": i, "text": t} for i, t in candidate_lines(page_lines(p.as_py()))] for p in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(lines, kind), *batch.columns[1:]], names=["lines", *batch.schema.names[1:]])
+        pages = [page_lines(p.as_py()) for p in batch.column(0)]
+        lines = [[{"place": i, "text": t} for i, t in candidate_lines(p)] for p in pages]
+        keys = [
+            _content(host, row, line_hashes(p))
+            for host, row, p in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), pages, strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lines, kind), pa.array(keys, pa.binary()), *batch.columns[3:]], names=["lines", "key", *batch.schema.names[3:]]
+        )
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,20 +287,34 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Blocks are trimmed, have single spaces, character references decoded, and are joined by an empty line. A null or
     empty html, or a page without main text, gives an empty text. A page without a host in its URL, or alone on its
-    host, has no neighbour, and only its markup is used. Neighbours on a tie: the one before. Rows that are equal in
-    all three columns count as one page for pairing and each get the result; an empty table stays empty.
+    host, has no neighbour, and only its markup is used; so have near copies (COPY_SHARE) that fill a host. Neighbours
+    on a tie: the one before. Rows of a host with equal lines count as one page for pairing, at the first of their
+    paths, and each get the result; an empty table stays empty.
     """
     url, page = F.col("url"), F.coalesce("html", F.lit(""))
+    host, path = (F.try_parse_url(url, F.lit(part)) for part in ("HOST", "PATH"))
     keyed = pages.select(
-        page.alias("page"), F.col("page_id").cast("bigint").alias("page_id"), url,
-        F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.coalesce(url, F.lit("-")), page))).alias("key"),
+        page.alias("page"),
+        F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.coalesce(url, F.lit("-"))))).alias("row"),
+        F.when(host != "", F.lower(host)).alias("host"), F.coalesce(path, F.lit("")).alias("path"),
+        F.col("page_id").cast("bigint").alias("page_id"), url,
     )
-    host, path = (F.try_parse_url(url, F.lit(part)) for part in ("HOST", "PATH"))
-    places = (
-        keyed.select("page_id", "key", F.lower(host).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
-        .where("host is not null and host != ''").dropDuplicates(["key"])
+    found = (
+        keyed.where("host is not null").select("page", "row", "host", "path", "page_id")
+        .mapInArrow(_hashes, "lines array<bigint>, marked boolean, key binary, host string, path string, page_id bigint")
+    )
+    contents = stage_table(
+        found.groupBy("key").agg(
+            F.first("host").alias("host"), F.min(F.struct("path", "page_id")).alias("at"),
+            F.first("marked").alias("marked"), F.first("lines").alias("lines"),
+        ),
+        "page-lines",
     )
-    ordered = add_dense_key(places, ["host", "path", "page_id", "key"], "place")
+    ordered = add_dense_key(
+        contents.select("key", "host", "marked", F.col("at.path").alias("path"), F.col("at.page_id").alias("page_id")),
+        ["host", "path", "page_id", "key"], "place",
+    ).select("place", "host", "path", "marked", "key")
+    lines = contents.select("key", "lines")
 
     def neighbour(step: int, name: str) -> DataFrame:
         return ordered.select(
@@ -271,21 +327,52 @@ def extract_text(pages: DataFrame) -> DataFrame:
         first = F.array_position(pairs, False)
         return F.when(F.col(other).isNull(), -1).otherwise(F.when(first == 0, F.size(pairs)).otherwise(first))
 
-    paired = (
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Links of pairs (place, key, other_key)."""
+        both = pairs.join(lines, "key").join(lines.select(F.col("key").alias("other_key"), F.col("lines").alias("other")), "other_key")
+        return both.select("place", "lines", "other").mapInArrow(_links, "place bigint, shared array<int>, other_shared array<int>, near boolean")
+
+    later_wins = alike("later_path") > alike("earlier_path")
+    links = stage_table(
+        compared(ordered.join(neighbour(1, "earlier"), ["place", "host"]).select("place", "key", F.col("earlier").alias("other_key"))), "page-links"
+    )
+    before = links.select("place", F.col("shared").alias("earlier_shared"), F.col("near").alias("earlier_near"))
+    after = links.select((F.col("place") - 1).alias("place"), F.col("other_shared").alias("later_shared"), F.col("near").alias("later_near"))
+    decided = (
         ordered.join(neighbour(1, "earlier"), ["place", "host"], "left").join(neighbour(-1, "later"), ["place", "host"], "left")
-        .select("key", F.when(alike("later_path") > alike("earlier_path"), F.col("later")).otherwise(F.col("earlier")).alias("other_key"))
-        .where("other_key is not null")
+        .join(before, "place", "left").join(after, "place", "left")
+        .where("not coalesce(earlier_near, false) and not coalesce(later_near, false)")
+        .select("key", F.when(later_wins, F.col("later_shared")).otherwise(F.col("earlier_shared")).alias("shared"))
+    )
+    # a run starts wherever a page is no near copy of the one before; only its bounds are compared with other pages
+    starts = add_dense_key(ordered.join(links.where("near"), "place", "left_anti").select("place"), ["place"], "run")
+    runs = (
+        starts.withColumnRenamed("place", "start")
+        .join(starts.select((F.col("run") - 1).alias("run"), F.col("place").alias("next")), "run", "left")
+        .join(ordered.agg(F.max("place").alias("last")).hint("broadcast"))
+        .select("start", (F.coalesce("next", F.col("last") + 1) - 1).alias("stop")).where("stop > start")
+    )
+    bounded = (
+        runs.join(ordered.select(F.col("place").alias("start"), "host"), "start")
+        .join(neighbour(1, "earlier").withColumnRenamed("place", "start"), ["start", "host"], "left")
+        .join(neighbour(-1, "later").withColumnRenamed("place", "stop"), ["stop", "host"], "left")
+        .where("earlier is not null or later is not null")
+    )
+    chunk = 65_536
+    members = (
+        bounded.select("*", F.explode(F.sequence("start", "stop", F.lit(chunk))).alias("first"))
+        .select("*", F.explode(F.sequence("first", F.least("stop", F.col("first") + chunk - 1))).alias("place"))
+        .select("place", "earlier", "earlier_path", "later", "later_path")
+    )
+    outside = (
+        ordered.where("not marked").join(members, "place")
+        .select("place", "key", F.when(later_wins, F.col("later")).otherwise(F.col("earlier")).alias("other_key"))
     )
-    # lines travel once by their own key and once to their neighbour
-    hashed = keyed.select("page", "key").mapInArrow(_hashes, "lines array<bigint>, key binary").dropDuplicates(["key"])
-    both = paired.join(hashed, "key").join(
-        hashed.select(F.col("key").alias("other_key"), F.col("lines").alias("other")), "other_key"
-    ).select("key", "lines", "other")
-    shared = both.mapInArrow(_shared, "key binary, shared array<int>")
-    parsed = keyed.select("page", "page_id", "url", "key").mapInArrow(
-        _lines, "lines array<struct<place:int,text:string>>, page_id bigint, url string, key binary"
+    beyond = compared(outside).where("not near").join(ordered, "place").select("key", "shared")
+    parsed = keyed.select("page", "row", "host", "page_id", "url").mapInArrow(
+        _lines, "lines array<struct<place:int,text:string>>, key binary, page_id bigint, url string"
     )
     return (
-        parsed.join(shared, "key", "left").select("page_id", "url", "lines", "shared")
+        parsed.join(decided.unionByName(beyond), "key", "left").select("page_id", "url", "lines", "shared")
         .mapInArrow(_texts, "page_id bigint, url string, text string")
     )

@@ -137,6 +137,24 @@ def test_page_text(spark):
     assert page_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_page_text_of_copies(spark):
+    """Unmarked copies and near copies at neighbouring URLs keep their text, and lose what other pages share."""
+    frame = "<div>The site</div><div>All topics</div>{}<div>bye now</div>"
+    story = [f"<p>{x} paragraph of the story about {x}, which is longer than the lines of the frame</p>" for x in ("First", "Second", "Third")]
+    own = "\n\n".join(p[3:-4] for p in story)
+    other = [frame.format(f"<p>{x} text of another page altogether, again of some length</p>") for x in ("Early", "Later", "Late")]
+    rows = [(1, "http://a.x/n/1", other[0]), (8, "http://a.x/n/8", other[1]), (9, "http://a.x/n/9", other[2])]
+    rows += [(20 + i, f"http://a.x/n/2?ref={i}", frame.format("".join(story))) for i in range(3)]
+    rows += [(30 + i, f"http://a.x/n/3{i}", frame.format("".join(story))) for i in range(3)]
+    rows += [(40 + i, f"http://a.x/n/4{i}", frame.format("".join(story) + f"<p>v{i}</p>")) for i in range(3)]
+    rows += [(50, "http://a.x/n/4print", "".join(story)), (60, "http://only.x/1", frame.format(story[0])), (61, "http://only.x/2", frame.format(story[0]))]
+    got = {r.page_id: r.text for r in page_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].startswith("Early text") and "\n" not in got[1] and got[9].startswith("Late text") and "\n" not in got[9]
+    assert {got[20 + i] for i in range(3)} | {got[30 + i] for i in range(3)} | {got[50]} == {own}
+    assert [got[40 + i] for i in range(3)] == [f"{own}\n\nv{i}" for i in range(3)]
+    assert got[60] == got[61] == "The site\n\nAll topics\n\n" + story[0][3:-4] + "\n\nbye now"
+
+
 def test_digest_columns(spark):
     pages = registry.op6_page_differencing(spark, "/root/testdata/sf0.001")
     assert pages.where(F.length("text") != F.col("n_chars")).count() == 0
