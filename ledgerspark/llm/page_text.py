@@ -10,7 +10,8 @@ pages is compared with the nearest page before or after the run. A run that has
 
 Markup then decides what differencing cannot know. A shared line stays where the page itself marks it as article text,
 because articles quote the same passages; and lines that differ from page to page go where the markup names them as
-menu, advert, form, comment and the like, or where an article is marked and they stand outside of it.
+menu, advert, form, comment and the like, or where an article is marked and they stand outside of it. What encloses an
+article is layout: a form, or an element with such a word only as a part of its class name, does not hide the article.
 """
 
 from __future__ import annotations
@@ -61,47 +62,72 @@ _ABOUT_LAYOUT = re.compile(r"(?:with|without|no|has)-")
 _SPACE = re.compile(r"\s+")
 
 
+#: Kinds of boilerplate by firmness. An article in a form or a layout element is one; so is one in a named element where
+#: the page marks no other.
+HIDES = ("form", "layout", "named", "boilerplate")
+
+
 def _role(name: str, attributes: str, in_article: bool) -> str:
-    """'article', 'boilerplate' or '' for an element."""
+    """'main', 'article', one of HIDES or '' for an element."""
     if name in NEVER_TEXT:
-        return "boilerplate"
+        return "form" if name == "form" else "boilerplate"
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
     role = found.get("role", "")
-    words = {
-        word for c in (found.get("class", "") + " " + found.get("id", "")).split() if not _ABOUT_LAYOUT.match(c)
-        for word in re.split(r"[^a-z0-9]+", c)
-    }
+    names = {c for c in (found.get("class", "") + " " + found.get("id", "")).split() if not _ABOUT_LAYOUT.match(c)}
+    words = {word for c in names for word in re.split(r"[^a-z0-9]+", c)}
     if name == "article" and words & READERS:
         return "boilerplate"
     if name in ("article", "main") or role in ("main", "article") or found.get("itemprop") == "articlebody":
-        return "" if in_article and name != "article" else "article"
-    if name == "header" and not in_article or role in ROLES or found.get("aria-hidden") == "true" or "hidden" in re.split(r"\s+", _ATTRIBUTE.sub("", attributes).lower()):
+        if in_article and name not in BLOCKS:
+            return ""
+        return "main" if name == "main" or role == "main" else "article"
+    if name == "header" and not in_article:
+        return "named"
+    if role == "form":
+        return "form"
+    if role in ROLES or found.get("aria-hidden") == "true" or "hidden" in re.split(r"\s+", _ATTRIBUTE.sub("", attributes).lower()):
         return "boilerplate"
     if name in ("html", "body"):
         return ""
     named = words & NAMED
     if in_article:
         named -= {"header"}  # an article's own head
-    return "boilerplate" if named else ""
+    if not named:
+        return ""
+    if any(re.split(r"[^a-z0-9]+", c)[0] in READERS for c in names):
+        return "boilerplate"
+    return "named" if names & named else "layout"
+
+
+def _kind(roles: list[str]) -> str:
+    """'article', 'held' (an article in a named element), one of HIDES or '' for text in elements of these roles."""
+    kind = ""
+    for role in roles:
+        if role == "main":
+            kind = "article"
+        elif role == "article":
+            kind = "held" if kind in ("named", "held") else kind if kind == "boilerplate" else "article"
+        elif role:
+            kind = max(kind, role, key=HIDES.index) if kind in HIDES else role
+    return kind
 
 
 def page_lines(page: str | None) -> list[tuple[str, str]]:
-    """(text, kind) of the page's blocks in order; kind is 'article', 'boilerplate' or ''."""
+    """(text, kind) of the page's blocks in order; kind is 'article', 'boilerplate' or ''.
+
+    Where nothing else is left, a form is taken for the page's layout.
+    """
     page = page or ""
     lines: list[tuple[str, str]] = []
     open_tags: list[tuple[str, str]] = []
     pieces: list[str] = []
 
-    def kind() -> str:
-        roles = [r for _, r in open_tags]
-        return "boilerplate" if "boilerplate" in roles else "article" if "article" in roles else ""
-
     def flush() -> None:
         if pieces:
             text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             pieces.clear()
             if text:
-                lines.append((text, kind()))
+                lines.append((text, _kind([r for _, r in open_tags])))
 
     def close(to: int) -> None:
         flush()
@@ -120,7 +146,7 @@ def page_lines(page: str | None) -> list[tuple[str, str]]:
             continue
         if name in VOID and name != "hr":
             continue
-        role = "" if m["end"] or name == "hr" else _role(name, m["attrs"], any(r == "article" for _, r in open_tags))
+        role = "" if m["end"] or name == "hr" else _role(name, m["attrs"], any(r in ("article", "main") for _, r in open_tags))
         if name not in BLOCKS and not role:
             if m["end"]:
                 held = [i for i, (n, r) in enumerate(open_tags) if n == name and r]
@@ -142,7 +168,13 @@ def page_lines(page: str | None) -> list[tuple[str, str]]:
             open_tags.append((name, role))
     pieces.append(page[at:])
     flush()
-    return lines
+    kinds = {kind for _, kind in lines}
+    means = {"article": "article", "": ""}
+    if "article" not in kinds:
+        means["held"] = "article"
+        if not kinds & {"held", ""}:
+            means["form"] = ""
+    return [(text, means.get(kind, "boilerplate")) for text, kind in lines]
 
 
 def _matching(a: list[int], b: list[int]) -> list[tuple[int, int]]:

@@ -155,6 +155,21 @@ def test_page_text_of_copies(spark):
     assert got[60] == got[61] == "The site\n\nAll topics\n\n" + story[0][3:-4] + "\n\nbye now"
 
 
+def test_page_text_in_wrappers():
+    def text(page):
+        return page_text.main_text(page_text.candidate_lines(page_text.page_lines(page)), set())
+
+    article = "<article><h1>T</h1><p>body</p><div class='share-bar'>s</div><form><p>f</p></form></article>"
+    cards = "<aside><article>c</article></aside><div class='related-posts'><article>r</article></div><form>q</form><nav>m</nav>"
+    for wrapper in ("<form id='aspnetForm'>{}</form>", "<div class='sidebar-right'>{}</div>", "<div id='content-sidebar-wrap'>{}</div>",
+                    "<div class='widget-page'><form>{}</form></div>", "<div class='search'>{}</div>", "<header>{}</header>"):
+        for inner in (article, f"<main>{article}</main>", article.replace("article", "main")):
+            assert text("<div>out</div>" + wrapper.format(inner + cards)) == "T\n\nbody"
+    assert text(f"<article>a</article><div class='sidebar'>{article}</div>") == "a"  # teasers beside a marked article
+    assert text("<form><p>all</p><div class='menu'>m</div></form><nav>n</nav>") == "all"
+    assert text("<p>all</p><form>q</form><div class='share-bar'>s</div>") == "all"
+
+
 def test_digest_columns(spark):
     pages = registry.op6_page_differencing(spark, "/root/testdata/sf0.001")
     assert pages.where(F.length("text") != F.col("n_chars")).count() == 0
