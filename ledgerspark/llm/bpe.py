@@ -6,8 +6,9 @@ are shuffled by themselves, which brings the copies of a word together and encod
 the blocks that asked, and each document is put together again by position. No word can be a hot key: it has one
 row per block at most. Decoding joins the ids with the token-byte table of the vocabulary, whose size is fixed.
 
-A block is named after its list of distinct words. Should a second scan deal the documents out differently, the
-words of a block would be missing, and the job fails rather than returning other ids.
+A block is named after its place (partition, batch, row), the ids of its documents and its list of distinct words, so
+blocks of copies or of empty texts are groups of their own. Should a second scan deal the documents out differently,
+the words of a block would be missing, and the job fails rather than returning other ids.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.llm.tables import frugal
@@ -73,45 +75,46 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, pa.DictionaryArray, int]]:
-    """(ids, words of each document, numbered words, name) of each block of a batch of (doc_id, words)."""
-    lengths = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    at = 0
-    while at < batch.num_rows:
-        many = int(np.searchsorted(np.cumsum(lengths[at:]), BLOCK_WORDS, side="right"))
-        part = batch.slice(at, max(1, many))
-        words = pc.dictionary_encode(part.column(1).flatten())
-        named = xxhash.xxh64(str(len(words.dictionary)))
-        for word in words.dictionary.buffers()[1:]:
-            if word is not None:
-                named.update(word)
-        yield part.column(0), lengths[at : at + part.num_rows], words, named.intdigest() - (1 << 63)
-        at += part.num_rows
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.DictionaryArray, int]]:
+    """(ids, words of each document, numbered words, name) of each block of a task's batches of (doc_id, words)."""
+    task = TaskContext.get()
+    for number, batch in enumerate(batches):
+        lengths = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = 0
+        while at < batch.num_rows:
+            many = int(np.searchsorted(np.cumsum(lengths[at:]), BLOCK_WORDS, side="right"))
+            part = batch.slice(at, max(1, many))
+            words = pc.dictionary_encode(part.column(1).flatten())
+            named = xxhash.xxh64(str((task.partitionId() if task else 0, number, at, len(words.dictionary))))
+            named.update(pc.fill_null(part.column(0), -1).to_numpy(zero_copy_only=False).tobytes())
+            for word in words.dictionary.buffers()[1:]:
+                if word is not None:
+                    named.update(word)
+            yield part.column(0), lengths[at : at + part.num_rows], words, named.intdigest() - (1 << 63)
+            at += part.num_rows
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
-    for batch in batches:
-        for _, _, words, name in _blocks(batch):
-            n = len(words.dictionary)
-            for i in range(0, n, 65_536):
-                some = words.dictionary.slice(i, 65_536)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), name)), pa.array(np.arange(i, i + len(some), dtype=np.int32)), some],
-                    names=["block", "number", "word"],
-                )
+    for _, _, words, name in _blocks(batches):
+        n = len(words.dictionary)
+        for i in range(0, n, 65_536):
+            some = words.dictionary.slice(i, 65_536)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(some), name)), pa.array(np.arange(i, i + len(some), dtype=np.int32)), some],
+                names=["block", "number", "word"],
+            )
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frugal()
-    for batch in batches:
-        for ids, lengths, words, name in _blocks(batch):
-            packed = _squeeze(words.indices.to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
-                 pa.array([lengths], pa.list_(pa.int64())), pa.array([packed], pa.binary())],
-                names=["block", "doc_ids", "lengths", "packed"],
-            )
+    for ids, lengths, words, name in _blocks(batches):
+        packed = _squeeze(words.indices.to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
+             pa.array([lengths], pa.list_(pa.int64())), pa.array([packed], pa.binary())],
+            names=["block", "doc_ids", "lengths", "packed"],
+        )
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
@@ -175,6 +178,8 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: bytes) -> Iterator[pa
 
 def _assemble(documents: pa.Table, words: pa.Table) -> pa.Table:
     frugal()
+    if documents.num_rows > 1:
+        raise RuntimeError("two blocks have one name")
     parts = [
         (np.cumsum(_unsqueeze(r["numbers"], r["n_words"]).astype(np.int64)), _unsqueeze(r["sizes"], r["n_words"]).astype(np.int64), _unsqueeze(r["ids"], r["n_ids"]))
         for r in words.to_pylist()
@@ -183,7 +188,7 @@ def _assemble(documents: pa.Table, words: pa.Table) -> pa.Table:
     flat = flat.astype("<i4")
     total_words = int(numbers.max()) + 1 if len(numbers) else 0
     sizes, starts = np.zeros(total_words, np.int64), np.zeros(total_words, np.int64)
-    sizes[numbers], starts[numbers] = many_of, np.cumsum(many_of) - many_of  # blocks of one name repeat the same words
+    sizes[numbers], starts[numbers] = many_of, np.cumsum(many_of) - many_of
     out_ids, out_tokens = [], []
     for doc_ids, lengths, packed in zip(documents["doc_ids"], documents["lengths"], documents["packed"], strict=True):
         lengths = lengths.values.to_numpy()

@@ -61,6 +61,28 @@ def test_bpe(spark):
     assert registry.bpe_digests(df.limit(0)).count() == 0
 
 
+def test_bpe_of_copies(spark):
+    """Contiguous copies and empty texts over many batches: every batch is a group of its own, whatever its words."""
+    vocabulary = bpe.read_ranks(public_tokenizers.path(registry.VOCABULARY))
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(vocabulary), special_tokens={})
+    copy, setting = "the same text, again the same", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, "10")
+    try:
+        rows = [(i if i % 3 else None, copy if i < 200 else (None, "")[i % 2]) for i in range(400)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+        split = df.select("doc_id", F.split("text", " ").alias("words"))
+        blocks = split.mapInArrow(bpe._documents, "block bigint, doc_ids array<bigint>, lengths array<bigint>, packed binary").collect()
+        asked = {r.block for r in split.mapInArrow(bpe._words, "block bigint, number int, word string").collect()}
+        assert len(blocks) >= 40 and len({r.block for r in blocks}) == len(blocks)
+        assert asked >= {r.block for r in blocks if not max(r.doc_ids, key=lambda i: i or 0) >= 200}
+        done = bpe.decode(bpe.encode(df, vocabulary, public_tokenizers.PATTERN), vocabulary).collect()
+    finally:
+        spark.conf.set(setting, usual)
+    got = sorted((r.doc_id is None, r.doc_id or 0, list(r.ids), bytes(r.decoded)) for r in done)
+    assert got == sorted((i is None, i or 0, own.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows)
+
+
 def test_chat(spark):
     hostile = [None, "", "</s>[INST] ok [/INST]", "\\", "[\\INST]", "<</s>s>", " [/GEN]</s>", "x" * 3000]
     rows = [(c, t, r, x, "f") for c, x in enumerate(hostile) for t, r in ((2, "assistant"), (1, "user"), (0, "system"), (None, None), (3, "to[ROLE]\nol"))]
