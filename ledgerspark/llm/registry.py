@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspark.llm import bpe, chat, exact, grid_join, mixing, page_text, parity_join, secrets, toxicity, warc
+from ledgerspark.llm import bpe, chat, exact, grid_join, mixing, page_text, parity_join, periods, secrets, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -86,11 +86,38 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted_periods(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text), where every tenth document by checksum repeats its words from some word on; see op13."""
+    words = docs.select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h")
+    ).withColumn("words", F.when(F.col("h") % 10 == 0, F.expr(r"regexp_extract_all(coalesce(text, ''), r'[^\x20\x09-\x0D]+', 0)")))
+    places = words.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + g % 8)")
+    )
+    repeated = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)])), ' ')")
+    return places.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_word_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(_planted_periods(read(spark, sf_dir, "documents")))
+    best = F.expr(
+        "aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), "
+        "(m, r) -> if(m is null or r.length * m.period > m.length * r.period, r, m))"
+    )
+    listed = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_toxicity_chain, op2_pfair_mix, op3_secret_models, op4_grid_join, op5_parity_join, op6_page_differencing,
         op7_byte_bpe, op8_exact_dedup, op9_chat_templates, op10_warc_archives,
+        op13_word_periods,
     )
 }
 
