@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspark.llm import bpe, chat, exact, grid_join, mixing, page_text, parity_join, periods, secrets, toxicity, warc
+from ledgerspark.llm import bpe, chat, exact, grid_join, mixing, page_text, parity_join, periods, secrets, spelling, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -86,6 +86,14 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(read(spark, sf_dir, "documents").select("doc_id", "text")).where(F.char_length("run") >= 5)
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    marked = runs.select("run", F.crc32(named.cast("binary")).alias("h"))
+    changed = F.expr("if(h % 97 = 0, concat(substr(run, 1, int(h % char_length(run))), substr(run, int(h % char_length(run)) + 2)), run)")
+    return spelling.spelling_variants(spelling.count_words(marked.select(changed.alias("word"))))
+
+
 def _planted_periods(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text), where every tenth document by checksum repeats its words from some word on; see op13."""
     words = docs.select(
@@ -117,7 +125,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_toxicity_chain, op2_pfair_mix, op3_secret_models, op4_grid_join, op5_parity_join, op6_page_differencing,
         op7_byte_bpe, op8_exact_dedup, op9_chat_templates, op10_warc_archives,
-        op13_word_periods,
+        op12_spelling_trie, op13_word_periods,
     )
 }
 
