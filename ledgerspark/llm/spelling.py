@@ -7,6 +7,10 @@ two words that differ by one edit differ by it at their first mismatch, so every
 States with an edit follow their own letters only. Edges are built level by level from the states without an edit. An
 edge carries all letters up to the next node where words part (or end), or up to the end of the only word below it, so
 the number of levels is the number of such nodes on a path, however long the words are.
+
+The mismatch of two such words lies in the second half of the word, counted from its beginning or from its end. So two
+tries are walked, of the words and of the reversed words, and states branch in the second half only, where few edges
+leave a node. Edges of the first two levels (at most one per pair of letters) are broadcast, all others are shuffled.
 """
 
 from __future__ import annotations
@@ -17,10 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerspark.llm.tables import scratch, stage
 
-#: Edges of a level are broadcast up to this many rows, and joined by a shuffle that deals out hot nodes beyond it.
-BROADCAST_EDGES = 100_000
-#: Parts into which the states of one node are dealt in that shuffle.
-SALTS = 16
+#: Levels whose edges are broadcast: there are no more of them than letters and pairs of letters.
+BROADCAST_LEVELS = 2
 RUN = r"[A-Za-zÀ-ÿ]+"
 
 
@@ -38,14 +40,6 @@ def count_words(words: DataFrame, least_letters: int = 5, least_count: int = 3)
     return long_enough.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_count)
 
 
-def _with_edges(states: DataFrame, edges: DataFrame, few: bool, on: list[str]) -> DataFrame:
-    if few:
-        return states.join(F.broadcast(edges), on)
-    salt = F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int")
-    copies = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return states.withColumn("_salt", salt).join(copies, [*on, "_salt"]).drop("_salt")
-
-
 #: How many first letters low and high share, found bit by bit; low and high bound a group of sorted words.
 _SHARED = (
     "aggregate(sequence(30, 0, -1), 0, (k, b) -> if(k + shiftleft(1, b) <= char_length(low) "
@@ -69,12 +63,8 @@ _BRANCHES = ", ".join([
 ])
 
 
-def near_words(words: DataFrame) -> DataFrame:
-    """(word, near) of all pairs of words that differ by exactly one inserted, deleted or replaced code point.
-
-    words has distinct values in word, the empty word included or not, and no null; further columns are ignored. Every
-    pair appears in both directions, once each. An empty table gives an empty result.
-    """
+def _walk(words: DataFrame) -> DataFrame | None:
+    """(word, near): the pairs whose first mismatch lies in the second half of word, staged; None without words."""
     states = words.select(
         "word", F.lit(0).alias("position"), F.lit("").alias("node"), F.lit(0).alias("edits"), F.lit(None).cast("string").alias("near")
     )
@@ -88,24 +78,38 @@ def near_words(words: DataFrame) -> DataFrame:
             .selectExpr("node", "letter", "child", "substr(child, char_length(node) + 1) as label", "leaf"),
             "trie-edges",
         )
-        count = edges.count()
-        if not count:
+        if edges.isEmpty():
             break
-        few = count <= BROADCAST_EDGES
+        if len(found) < BROADCAST_LEVELS:
+            edges = F.broadcast(edges)
         own_edges = edges.withColumnRenamed("letter", "own")
-        followed = _with_edges(at_own, own_edges.where("not leaf"), few, ["node", "own"]).selectExpr(
+        followed = at_own.join(own_edges.where("not leaf"), ["node", "own"]).selectExpr(
             "word", "char_length(child) as position", "child as node", "edits", "cast(null as string) as near"
         )
-        matched = _with_edges(edited, own_edges, few, ["node", "own"]).where(
+        matched = edited.join(own_edges, ["node", "own"]).where(
             "if(leaf, substr(word, position + 1) = label, startswith(substr(word, position + 1), label))"
         ).selectExpr("word", "position + char_length(label) as position", "child as node", "edits", "if(leaf, child, null) as near")
-        branched = _with_edges(at_own.drop("edits"), edges, few, ["node"]).where("letter <> own").selectExpr(
+        branching = at_own.drop("edits").where("2 * char_length(node) >= char_length(word) - 1")
+        branched = branching.join(edges, "node").where("letter <> own").selectExpr(
             f"inline(filter(array({_BRANCHES}), s -> s is not null))"
         )
         states = stage(followed.unionByName(matched).unionByName(branched), "trie-states")
         found.append(states.where("near is not null").select("word", "near"))
         states = states.where("near is null")
-    return reduce(DataFrame.unionByName, found) if found else words.select("word", F.col("word").alias("near")).limit(0)
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """(word, near) of all pairs of words that differ by exactly one inserted, deleted or replaced code point.
+
+    words has distinct values in word, the empty word included or not, and no null; further columns are ignored. Every
+    pair appears in both directions, once each. An empty table gives an empty result.
+    """
+    ahead = _walk(words)
+    if ahead is None:
+        return words.select("word", F.col("word").alias("near")).limit(0)
+    back = _walk(words.select(F.reverse("word").alias("word"))).select(F.reverse("word").alias("word"), F.reverse("near").alias("near"))
+    return ahead.unionByName(back).distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
