@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspark.llm import bpe, chat, exact, grid_join, mixing, page_text, parity_join, periods, secrets, spelling, toxicity, warc
+from ledgerspark.llm import bpe, chat, exact, grid_join, mixing, page_text, parity_join, periods, secrets, spelling, suffix_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -86,6 +86,13 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", F.expr("n_bytes - octet_length(kept)").cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = spelling.letter_runs(read(spark, sf_dir, "documents").select("doc_id", "text")).where(F.char_length("run") >= 5)
     named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
@@ -125,7 +132,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_toxicity_chain, op2_pfair_mix, op3_secret_models, op4_grid_join, op5_parity_join, op6_page_differencing,
         op7_byte_bpe, op8_exact_dedup, op9_chat_templates, op10_warc_archives,
-        op12_spelling_trie, op13_word_periods,
+        op11_suffix_dedup, op12_spelling_trie, op13_word_periods,
     )
 }
 
