@@ -65,7 +65,7 @@ class _Successor:
 
 def _group_ranks(key: np.ndarray, base: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order, rank of every row of order, size of its group): rows of equal key share base plus the group's place."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.concatenate([[True], np.diff(key[order]) != 0])
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(key)))
@@ -82,7 +82,7 @@ def _sort_suffixes(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, lis
     n = len(words)
     order, ranked, size = _group_ranks(words, 0)
     suffixes = order.copy()
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
     rank[order] = ranked
     ranks, many, step = [rank], np.ones(n, np.int64), 1
     open_ = order[size > 1]
@@ -90,9 +90,9 @@ def _sort_suffixes(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, lis
         rank = rank.copy()
         if len(open_):
             ahead = open_ + step
-            second = np.where(ahead < ends[open_], ranks[-1][np.minimum(ahead, n - 1)] + 1, 0)
+            second = np.where(ahead < ends[open_], ranks[-1][np.minimum(ahead, n - 1)].astype(np.int64) + 1, 0)
             # open_ is sorted by rank, so the place inside the old group plus its rank is the place in the suffix array
-            old = ranks[-1][open_]
+            old = ranks[-1][open_].astype(np.int64)
             start = np.flatnonzero(np.concatenate([[True], np.diff(old) != 0]))
             base = np.repeat(old[start] - start, np.diff(np.append(start, len(old))))
             order, ranked, size = _group_ranks(old * (n + 1) + second, 0)

@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerspark.llm.suffix_sort import SuffixSorter
 from ledgerspark.llm.tables import frugal, scratch, stage
 
-#: Bytes of text whose anchors are found together, and of contexts that are sorted together; one text or anchor may have more.
-TEXT_BYTES, SHARD_BYTES = 2 << 20, 2 << 20
+#: Bytes of text whose anchors are found together, and of contexts that are sorted together, so that both stay in the
+#: processor's cache; one text or anchor may have more.
+TEXT_BYTES, SHARD_BYTES = 64 << 10, 256 << 10
 #: Anchors with more different contexts are made longer.
 MOST_CONTEXTS = 2048
 #: Fixed odd factors of the hash of byte strings.
@@ -149,7 +150,7 @@ def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
                 piece = data[c["low"] : c["low"] + c["starts"] - 1 + length]
                 out.append((c["anchor"], c["context"], c["copies"], c["starts"], c["place"], piece))
                 size += len(piece)
-            if size >= TEXT_BYTES:
+            if size >= SHARD_BYTES:
                 yield _rows(out)
                 out, size = [], 0
         if out:
@@ -246,7 +247,8 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     another; strings never cross texts, may overlap, and are judged on the input. spans are the maximal removed
     stretches, kept is what is left. A null text counts as empty; texts shorter than length keep everything. Rows with a
     repeated doc_id and equal texts are texts of their own, and so copies of each other. An empty table gives an empty
-    result. Memory: a text, or 2 MB of texts; of contexts those of one anchor, or 2 MB, with waiting suffixes on disk.
+    result. Memory: a text, or TEXT_BYTES of texts; of contexts those of one anchor, or
+    SHARD_BYTES, with waiting suffixes on disk.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")

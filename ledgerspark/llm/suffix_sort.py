@@ -40,7 +40,6 @@ class SymbolQueue:
         self.memory = QUEUE_BYTES if memory is None else memory
         self.held: dict[int, list[np.ndarray]] = defaultdict(list)
         self.spilled: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.last: set[int] = set()
         self.size = 0
         self.file = None
 
@@ -54,7 +53,6 @@ class SymbolQueue:
     def push(self, symbol: int, positions: np.ndarray, common: np.ndarray) -> None:
         run = np.empty(len(positions), _TUPLE)
         run["position"], run["common"] = positions, common
-        self.last.add(symbol)
         self.held[symbol].append(run)
         self.size += run.nbytes
         if self.size > self.memory:
@@ -151,7 +149,7 @@ class SuffixSorter:
         while len(open_):
             rows = order[open_]
             word = self._word(seeds[rows] + offset, stop[rows])
-            by = np.lexsort((word, group[open_]))
+            by = np.argsort(word) if not offset else np.lexsort((word, group[open_]))
             order[open_], word = rows[by], word[by]
             old = group[open_]
             new = np.concatenate([[True], (np.diff(old) != 0) | (word[1:] != word[:-1])])
@@ -247,13 +245,14 @@ class SuffixSorter:
         symbols = self.text[seeds]
         bounds = np.searchsorted(symbols, np.arange(_SYMBOLS + 1))
         with SymbolQueue() as rising, SymbolQueue() as falling, SymbolQueue() as derived:
-            for symbol in range(_SYMBOLS):
+            used = np.flatnonzero(np.bincount(self.text, minlength=_SYMBOLS)).tolist()
+            for symbol in used:
                 mine = slice(bounds[symbol], bounds[symbol + 1])
                 positions, common = self._derive(rising, symbol)
                 if len(positions):
                     derived.push(symbol, positions, common)
                 self._hand_out(rising, *self._joined([(positions, common), (seeds[mine], shared[mine].copy())]), symbol, True)
-            for symbol in reversed(range(1, _SYMBOLS)):
+            for symbol in reversed(used[1:]):
                 positions, common = derived.pop(symbol)
                 down = np.concatenate([[0], common[:0:-1]]).astype(np.uint8) if len(common) else common
                 found = self._joined([self._derive(falling, symbol), (positions[::-1], down)])
