@@ -480,7 +480,21 @@ oracle("st_summary", f"""
     select 'total_messages_consumed' as metric, count(*) as value from platform_events
     union all select 'critical_escalations_forwarded', count(*) from platform_events
       where event_type = 'escalation_raised' and severity = 'Critical'
+    union all select 'messages_of_all_runs', count(*) from platform_events
     union all select 'event_counts.' || event_type, event_count from ({TYPE_COUNTS})""")
+_NUMBERED = "(select *, cast(substr(event_id, 4) as bigint) as number from platform_events)"
+oracle("st_stamp", f"""
+    select event_type as key, event_id, event_type, project_id, user_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp,
+      number / 4 as amount, number as first_step, true as null_step, true as null_member, true as stamped
+    from {_NUMBERED} where number % 50 <> 7""")
+_LATE = f"{_NUMBERED} where number % 2 = 1"
+oracle("snk_stream_summary", f"""
+    select 'total_messages_consumed' as metric, count(*) as value from {_LATE}
+    union all select 'critical_escalations_forwarded', count(*) from {_LATE}
+      and event_type = 'escalation_raised' and severity = 'Critical'
+    union all select 'messages_of_all_runs', count(*) from platform_events
+    union all select 'event_counts.' || event_type, count(*) from {_LATE} group by event_type""")
+oracle("st_malformed", f"select event_id, 'not JSON' as reason from {_NUMBERED} where number % 50 = 7")
 oracle("st_bounded_run", """
     select count(*) as events_read, count(distinct event_id) as event_ids from platform_events""")
 oracle("st_dedup_first", "select event_id, user_id, event_type from good_events")
@@ -755,6 +769,7 @@ CONSTRAINT_PARTS = [
     ]
 ]
 oracle("w9_constraints", " union all ".join(CONSTRAINT_PARTS))
+oracle("w9_published", " union all ".join(f"select '{t}' as table_name, count(*) as table_rows from {SOURCES[t]}" for t in SOURCES))
 
 # business questions and marts
 DEPT = """select department, cast(sum(budget) as double) as total_budget,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,7 +13,7 @@ from ledgerspark.operators import employees as emp, projects as prj, transaction
 from ledgerspark.operators.joins import duplicate_keys, key_profile
 from ledgerspark.operators.ordering import add_dense_key, add_group_rank
 from ledgerspark.operators.reshape import null_counts
-from ledgerspark.plans import events as ev, governance as gov, quality as dq, questions as qs, warehouse as wh
+from ledgerspark.plans import events as ev, governance as gov, load, quality as dq, questions as qs, warehouse as wh
 from ledgerspark.plans.report import run_report
 from ledgerspark.sources import files, sinks
 from ledgerspark.sources.testdata import TestData
@@ -230,7 +230,44 @@ def snk_event_stream(x: Inputs) -> DataFrame:
     )
 
 
-also("st_stamp", "snk_event_stream")
+def rich_lines(x: Inputs) -> DataFrame:
+    """Event lines with members that no schema names: nested, numeric and null ones; every fiftieth is cut short."""
+    number = F.substring("event_id", 4, 20).cast("bigint")
+    known = F.to_json(F.struct("event_id", "event_type", "project_id", "user_id", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")))
+    extra = F.to_json(F.struct((number / 4).alias("amount"), F.array(number, F.lit(None)).alias("steps")))
+    line = F.concat(F.expr("left(known, length(known) - 1)"), F.lit(',"nothing":null,"extra":'), "extra", F.lit("}"))
+    cut = F.when(number % 50 == 7, F.substring(line, 1, 40)).otherwise(line)
+    return x.events.withColumns({"known": known, "extra": extra}).select(cut.alias("value"))
+
+
+def published(x: Inputs) -> str:
+    """The folder with what a run over the lines has published and set aside."""
+    folder, out = x.path("rich-messages"), x.path("rich-published")
+    rich_lines(x).write.text(folder)
+    st.publish_events(files.read_event_stream(x.spark, "text", path=folder), out, x.path("rich-progress"))
+    return out
+
+
+@query
+def st_stamp(x: Inputs) -> DataFrame:
+    """The whole value of every published message, but for the moment."""
+    event = F.expr("parse_json(value)").alias("event")
+    rows = st.read_messages(x.spark, f"{published(x)}/published").select("key", event)
+    return rows.select(
+        "key",
+        *[F.expr(f"variant_get(event, '$.{c}', 'string')").alias(c) for c in ("event_id", "event_type", "project_id", "user_id", "timestamp")],
+        F.expr("variant_get(event, '$.extra.amount', 'double')").alias("amount"),
+        F.expr("variant_get(event, '$.extra.steps[0]', 'bigint')").alias("first_step"),
+        F.expr("is_variant_null(variant_get(event, '$.extra.steps[1]', 'variant'))").alias("null_step"),
+        F.expr("is_variant_null(variant_get(event, '$.nothing', 'variant'))").alias("null_member"),
+        F.expr("variant_get(event, '$.produced_at', 'string') is not null").alias("stamped"),
+    )
+
+
+@query
+def st_malformed(x: Inputs) -> DataFrame:
+    letters = st.read_messages(x.spark, f"{published(x)}/dead_letters", st.DEAD_SCHEMA)
+    return letters.select(F.regexp_extract("value", "EVT[0-9]+", 0).alias("event_id"), "reason")
 
 
 @query
@@ -741,9 +778,10 @@ def st_type_counts(x: Inputs) -> DataFrame:
 
 @query
 def st_forward_critical(x: Inputs) -> DataFrame:
+    """What the forwarding query of a run, the second one beside counting, has sent to its own sink."""
     out = x.path("critical")
-    st.write_messages(st.critical_escalations(x.data.event_stream()), out, x.path("critical-progress"))
-    forwarded = x.spark.read.schema("key string, value string").json(out)
+    st.run_event_stream(x.spark, x.data.event_stream(), out, x.path("critical-progress"), "platform-events")
+    forwarded = x.spark.read.schema(st.MESSAGE_SCHEMA).json(f"{out}/forwarded")
     return forwarded.select(
         F.col("key").alias("project_id"),
         F.get_json_object("value", "$.event_id").alias("event_id"),
@@ -758,7 +796,17 @@ def st_summary(x: Inputs) -> DataFrame:
     return st.stream_metrics(x.spark, out)
 
 
-also("snk_stream_summary", "st_summary")
+@query
+def snk_stream_summary(x: Inputs) -> DataFrame:
+    """The written summary of a second run over an old folder: even event numbers came first, then odd ones."""
+    folder, out, progress = x.path("growing-messages"), x.path("growing-run"), x.path("growing-progress")
+    odd = F.substring("event_id", 4, 20).cast("bigint") % 2 == 1
+    for late in (False, True):
+        new = x.events.where(odd if late else ~odd).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        new.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(folder)
+        events = st.decode_events(files.read_event_stream(x.spark, "text", path=folder))
+        st.run_event_stream(x.spark, events, out, progress, "platform-events")
+    return st.stream_metrics(x.spark, out)
 
 
 @query
@@ -961,9 +1009,18 @@ def q_val_overlap(x: Inputs) -> DataFrame:
 
 @query
 def w9_constraints(x: Inputs) -> DataFrame:
-    """The finished tables are staged, as a warehouse would hold them, then checked."""
-    tables = x.keyed_star.tables()
-    return wh.constraint_violations({name: stage_table(df, name) for name, df in tables.items()})
+    """All tables are written by the load, then checked as they were read back."""
+    return wh.constraint_violations(load.write_star(x.clean_projects, x.clean_employees, x.history, x.transactions, x.path("warehouse")))
+
+
+@query
+def w9_published(x: Inputs) -> DataFrame:
+    """Rows of every table that a checked load has published."""
+    out = x.path("published-warehouse")
+    load.run_warehouse(x.clean_projects, x.clean_employees, x.history, x.transactions, out)
+    tables = load.read_warehouse(x.spark, out).items()
+    counts = [df.agg(F.count(F.lit(1)).alias("table_rows")).select(F.lit(name).alias("table_name"), "table_rows") for name, df in tables]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # --- business questions and marts -------------------------------------------
