@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerspark.operators.reshape import metric_rows
 
@@ -95,6 +96,10 @@ RETENTION_YEARS = {
 }
 
 
+#: The session setting with the key of pseudonyms, in hex digits.
+KEY_SETTING = "spark.ledgerspark.maskKey"
+
+
 def column_class(dataset: str, column: str) -> str:
     return SENSITIVE_COLUMNS.get(dataset, {}).get(column, INTERNAL)
 
@@ -118,26 +123,45 @@ def classification(frames: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def _masked(df: DataFrame, column: str) -> Column:
-    """Text becomes a hash that still joins and counts; other types become null."""
-    kind = dict(df.dtypes)[column]
-    if kind == "string":
-        return F.sha2(F.col(column), 256).alias(column)
-    return F.lit(None).cast(kind).alias(column)
+def mask_key(spark: SparkSession) -> bytes:
+    """The key of the pseudonyms, as hex digits in the setting KEY_SETTING; a missing or short one fails."""
+    key = bytes.fromhex(spark.conf.get(KEY_SETTING, None) or "")
+    if len(key) < 16:
+        raise ValueError(f"set {KEY_SETTING} to at least 32 hex digits: without a key, masked text could be guessed")
+    return key
+
+
+def pseudonym(value: Column, key: bytes) -> Column:
+    """HMAC-SHA-256 of a text in lower-case hex, null for null: equal texts stay equal, and only the key tells which."""
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, value.cast("binary")), 256))), 256)
 
 
-def mask_view(df: DataFrame, dataset: str, persona: str) -> DataFrame | None:
-    """The dataset as the persona may see it, or None without access."""
+def mask_view(df: DataFrame, dataset: str, persona: str, key: bytes | None = None) -> DataFrame | None:
+    """The dataset as the persona may see it, or None without access.
+
+    Text that the persona may not see becomes a keyed pseudonym, which joins and counts across datasets; other types
+    become null. Without key it is taken from the session's settings.
+    """
     if ACCESS[persona][dataset] == "None":
         return None
     clear = CLEAR_CLASSES[persona] | {INTERNAL}
-    return df.select(
-        *[F.col(c) if column_class(dataset, c) in clear else _masked(df, c) for c in df.columns]
-    )
+    kinds = dict(df.dtypes)
+    hidden = [c for c in df.columns if column_class(dataset, c) not in clear]
+    texts = {c for c in hidden if kinds[c] == "string"}
+    secret = key if key is not None or not texts else mask_key(df.sparkSession)
+
+    def shown(c: str) -> Column:
+        if c in texts:
+            return pseudonym(F.col(c), secret).alias(c)
+        return F.lit(None).cast(kinds[c]).alias(c) if c in hidden else F.col(c)
+
+    return df.select(*map(shown, df.columns))
 
 
-def persona_views(frames: Mapping[str, DataFrame], persona: str) -> dict[str, DataFrame]:
-    views = {name: mask_view(df, name, persona) for name, df in frames.items()}
+def persona_views(frames: Mapping[str, DataFrame], persona: str, key: bytes | None = None) -> dict[str, DataFrame]:
+    views = {name: mask_view(df, name, persona, key) for name, df in frames.items()}
     return {name: view for name, view in views.items() if view is not None}
 
 

@@ -874,8 +874,14 @@ def _classified(source: str, column: str) -> str:
 oracle("g_classification", " union all ".join(
     _classified(source, column) for source, (_, columns) in CLASSIFIED.items() for column in columns
 ))
-oracle("g_mask_view", """
-    select employee_id, sha256(full_name) as full_name, sha256(email) as email, cast(null as varchar) as hire_date,
+def _keyed(column: str) -> str:
+    """HMAC-SHA-256 under the fixed key of the query."""
+    pads = ["".join(f"\\x{b ^ pad:02X}" for b in b"key of the checked query".ljust(64, b"\0")) for pad in (0x36, 0x5C)]
+    return f"sha256('{pads[1]}'::blob || unhex(sha256('{pads[0]}'::blob || encode({column}))))"
+
+
+oracle("g_mask_view", f"""
+    select employee_id, {_keyed("full_name")} as full_name, {_keyed("email")} as email, cast(null as varchar) as hire_date,
       department, role, level, cast(null as double) as salary, manager_id, region, status,
       cast(years_experience as bigint) as years_experience from employees_clean""")
 oracle("g_salary_aggregate", """

@@ -1,4 +1,5 @@
 import datetime as dt
+import hmac
 from decimal import Decimal
 
 import pytest
@@ -8,6 +9,25 @@ from ledgerspark.plans import governance as gov
 from tests.helpers import by, employees, projects, transactions
 
 
+KEY = b"sixteen bytes ok"
+
+
+def test_pseudonyms_need_the_key(spark):
+    rows = [("A B",), (None,), ("",), ("\u00e9" * 100,)]
+    df = spark.createDataFrame(rows, "t string")
+    for key in (KEY, b"k" * 64, b"k" * 200):
+        got = [r.p for r in df.select(gov.pseudonym(F.col("t"), key).alias("p")).collect()]
+        assert got == [None if t is None else hmac.new(key, t.encode(), "sha256").hexdigest() for (t,) in rows]
+    frame = employees(spark, {"employee_id": "1"})
+    with pytest.raises(ValueError, match="maskKey"):
+        gov.mask_view(frame, "employees", "Executive")
+    spark.conf.set(gov.KEY_SETTING, KEY.hex())
+    try:
+        assert gov.mask_view(frame, "employees", "Executive").first().full_name == hmac.new(KEY, b"A B", "sha256").hexdigest()
+    finally:
+        spark.conf.unset(gov.KEY_SETTING)
+
+
 def test_classes_cover_every_column(spark):
     rows = gov.classification({"employees": employees(spark, {"employee_id": "1", "email": None})})
     got = by(rows, "column_name", "classification", "regulation", "filled_rows")
@@ -22,9 +42,9 @@ def test_views_follow_the_access_table(spark):
         "employees": employees(spark, {"employee_id": "1"}),
         "transactions": transactions(spark, {"transaction_id": "t"}),
     }
-    assert set(gov.persona_views(frames, "HR Team")) == {"employees"}
-    assert set(gov.persona_views(frames, "Finance Team")) == {"projects", "transactions"}
-    seen = gov.mask_view(frames["employees"], "employees", "Executive").first()
+    assert set(gov.persona_views(frames, "HR Team", KEY)) == {"employees"}
+    assert set(gov.persona_views(frames, "Finance Team", KEY)) == {"projects", "transactions"}
+    seen = gov.mask_view(frames["employees"], "employees", "Executive", KEY).first()
     assert seen.salary is None and len(seen.full_name) == 64 and seen.department == "IT"
     assert gov.mask_view(frames["employees"], "employees", "Data Engineer").first().full_name == "A B"
     assert gov.mask_view(frames["projects"], "projects", "Executive").first().budget == Decimal(5)
