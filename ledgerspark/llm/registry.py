@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -93,12 +94,19 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted_typo(doc_id: int | None) -> Callable[[str], str]:
+    """Takes one letter from one in 97 of the document's runs."""
+    begun = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+
+    def changed(run: str) -> str:
+        h = zlib.crc32(run.encode(), begun)
+        return run if h % 97 else run[: h % len(run)] + run[h % len(run) + 1 :]
+
+    return changed
+
+
 def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = spelling.letter_runs(read(spark, sf_dir, "documents").select("doc_id", "text")).where(F.char_length("run") >= 5)
-    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
-    marked = runs.select("run", F.crc32(named.cast("binary")).alias("h"))
-    changed = F.expr("if(h % 97 = 0, concat(substr(run, 1, int(h % char_length(run))), substr(run, int(h % char_length(run)) + 2)), run)")
-    return spelling.spelling_variants(spelling.count_words(marked.select(changed.alias("word"))))
+    return spelling.spelling_variants(spelling.count_words(read(spark, sf_dir, "documents"), _planted_typo))
 
 
 def _planted_periods(docs: DataFrame) -> DataFrame:

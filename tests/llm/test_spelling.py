@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from ledgerspark.llm import registry, spelling
@@ -102,3 +103,20 @@ def test_odd_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, run string, word string").write.parquet(f"{tmp_path}/documents.parquet")
     got = registry.QUERIES["op12_spelling_trie"](spark, str(tmp_path)).collect()
     assert {tuple(r) for r in got} == plain_query([r[:2] for r in rows]) and len(got) > 5
+
+
+def test_near_words_of_a_dense_table(spark):
+    rng = random.Random(11)
+    words = {"".join(rng.choice("abé") for _ in range(rng.randrange(0, 9))) for _ in range(2500)}
+    got = spelling.near_words(spark.createDataFrame([(w,) for w in sorted(words)], "word string")).collect()
+    assert sorted((r.word, r.near) for r in got) == sorted((w, v) for w, others in near_of(list(words)).items() for v in others)
+
+
+def test_counts_come_in_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "HELD_WORDS", 2)
+    table = pa.table({"k": [1, None, 2], "t": ["Apple apple", "pears apple", "plums pears ÉTÉS été"]})
+    sent = list(spelling._counts(iter(table.to_batches(max_chunksize=1)), spelling.unchanged, 5))
+    total = Counter()
+    for batch in sent:
+        total.update(dict(zip(batch["word"].to_pylist(), batch["n"].to_pylist(), strict=True)))
+    assert len(sent) == 2 and total == {"apple": 3, "pears": 2, "plums": 1}
