@@ -49,14 +49,31 @@ READERS = frozenset("comment comments reply replies related".split())
 # elements whose start ends an open paragraph or item of the same kind
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
+# what a class or id may say besides, inside of an article
+BESIDE = frozenset(
+    "area articles bar block body bottom box btn button buttons card container content cta form group icons inline inner item items link "
+    "links list media message more outer panel posts post reader readers row section slot stories tools top unit user wrap wrapper".split()
+)
+# blocks of running text, whose class or id (often made from a heading) never hides them inside of an article
+TEXT_BLOCKS = frozenset("blockquote caption dd dl dt h1 h2 h3 h4 h5 h6 li ol p pre table tbody td tfoot th thead tr ul".split())
+
 #: Two pages of which either shares this much of its text with the other are near copies.
 COPY_SHARE = 0.9
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|iframe|template)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_QUOTED = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+_RAW, _NAME = "(?P<raw>script|style|textarea|title|noscript|iframe|template)", "[a-zA-Z][a-zA-Z0-9:-]*"
+
+
+def _markup(attributes: str, otherwise: str) -> re.Pattern[str]:
+    return re.compile(
+        rf"<!--.*?(?:-->|(?P<open>\Z))|<{_RAW}\b{attributes}>.*?(?:</(?P=raw)\s*>|(?P<unended>\Z))"
+        rf"|<(?P<end>/?)(?P<name>{_NAME})(?:(?P<attrs>{attributes})>|(?P<broken>{otherwise})>)|<[!?/][^>]*>",
+        re.S | re.I,
+    )
+
+
+#: Markup with quoted '>' in attributes; and without, for the rest of a page after a tag whose quotes never end.
+_TAG, _PLAIN_TAG = _markup(_QUOTED, "[^>]*+"), _markup("[^>]*+", "(?!)")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _ABOUT_LAYOUT = re.compile(r"(?:with|without|no|has)-")
 _SPACE = re.compile(r"\s+")
@@ -67,6 +84,24 @@ _SPACE = re.compile(r"\s+")
 HIDES = ("form", "layout", "named", "boilerplate")
 
 
+def _tags(page: str) -> Iterator[re.Match[str]]:
+    """Comments and tags in order, in time that grows with the page: only one tag is ever read on to the page's end in vain."""
+    pattern, at, last = _TAG, 0, page.rfind(">") + 1
+    while m := pattern.search(page, at, last):
+        at = m.end()
+        yield m
+        if m["open"] is not None or m["unended"] is not None:
+            return
+        if m["broken"] is not None:
+            pattern = _PLAIN_TAG
+
+
+def _says_so(name: str) -> bool:
+    """Whether a class or id of an element inside an article names boilerplate and nothing else: related-posts, not related-work."""
+    words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+    return any(w in NAMED for w in words) and all(w in NAMED or w in BESIDE or w.isdigit() for w in words)
+
+
 def _role(name: str, attributes: str, in_article: bool) -> str:
     """'main', 'article', one of HIDES or '' for an element."""
     if name in NEVER_TEXT:
@@ -91,7 +126,10 @@ def _role(name: str, attributes: str, in_article: bool) -> str:
         return ""
     named = words & NAMED
     if in_article:
-        named -= {"header"}  # an article's own head
+        if name in TEXT_BLOCKS:
+            return ""
+        names = {c for c in names if _says_so(c)}
+        named &= {word for c in names for word in re.split(r"[^a-z0-9]+", c)} - {"header"}  # an article's own head
     if not named:
         return ""
     if any(re.split(r"[^a-z0-9]+", c)[0] in READERS for c in names):
@@ -134,11 +172,12 @@ def page_lines(page: str | None) -> list[tuple[str, str]]:
         del open_tags[to:]
 
     at = 0
-    for m in _TAG.finditer(page):
+    for m in _tags(page):
         if m.start() > at:
             pieces.append(page[at : m.start()])
-        at = m.end()
+        at = len(page) if m["open"] is not None or m["unended"] is not None else m.end()
         name = (m["name"] or "").lower()
+        attributes = m["attrs"] or m["broken"] or ""
         if not name:
             continue  # comment, declaration or raw element: no text
         if name == "br":
@@ -146,7 +185,7 @@ def page_lines(page: str | None) -> list[tuple[str, str]]:
             continue
         if name in VOID and name != "hr":
             continue
-        role = "" if m["end"] or name == "hr" else _role(name, m["attrs"], any(r in ("article", "main") for _, r in open_tags))
+        role = "" if m["end"] or name == "hr" else _role(name, attributes, any(r in ("article", "main") for _, r in open_tags))
         if name not in BLOCKS and not role:
             if m["end"]:
                 held = [i for i, (n, r) in enumerate(open_tags) if n == name and r]
@@ -164,9 +203,9 @@ def page_lines(page: str | None) -> list[tuple[str, str]]:
         flush()
         if open_tags and (open_tags[-1][0] == "p" and name in BLOCKS or open_tags[-1][0] in CLOSES.get(name, ())):
             close(len(open_tags) - 1)
-        if name != "hr" and not m["attrs"].endswith("/"):
+        if name != "hr" and not attributes.endswith("/"):
             open_tags.append((name, role))
-    pieces.append(page[at:])
+    pieces.append(page[at:].partition("<!--")[0])
     flush()
     kinds = {kind for _, kind in lines}
     means = {"article": "article", "": ""}
