@@ -70,3 +70,45 @@ def add_group_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], ra
         *df.columns,
         (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("bigint").alias(rank),
     )
+
+
+def add_queue_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], closes: str, rank: str) -> DataFrame:
+    """First in, first out in one queue per group: a closing row gets the rank of the opening row that it takes out.
+
+    closes is a boolean column without nulls; opening rows are ranked 1, 2, ... per group. A closing row that finds its
+    queue empty takes nothing and has a null rank. order has to be total and decides ties.
+
+    Let the balance be the openings less the closings so far. A closing finds the queue empty where it takes the balance
+    below zero and below all balances before, so sums and minima are enough, and those of a range partition add up to
+    two offsets: what came in before it, and the least balance before it. A group of any size spreads over tasks.
+    """
+    parts = _range_parts(df, [*group, *order], f"queue-{rank}").withColumns(
+        {"_opening": F.when(F.col(closes), 0).otherwise(1), "_step": F.when(F.col(closes), -1).otherwise(1)}
+    )
+    inside = Window.partitionBy(*group, "_part").orderBy("_pos")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = parts.withColumns({"_opened": F.sum("_opening").over(so_far), "_balance": F.sum("_step").over(so_far)})
+    pieces = local.groupBy(*group, "_part").agg(
+        F.sum("_opening").alias("_in"), F.sum("_step").alias("_sum"), F.min("_balance").alias("_low")
+    )
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(*_BEFORE)
+    # as in add_group_rank, no more rows with offsets than partitions
+    continued = (
+        pieces.withColumns({"_in_before": F.sum("_in").over(before), "_sum_before": F.sum("_sum").over(before)})
+        .withColumn("_low_before", F.min(F.coalesce("_sum_before", F.lit(0)) + F.col("_low")).over(before))
+        .where(F.col("_in_before").isNotNull())
+        .select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_part").alias("_g_part"), "_in_before", "_sum_before", "_low_before")
+    )
+    same_piece = F.col("_part") == F.col("_g_part")
+    for c in group:
+        same_piece = same_piece & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    sum_before = F.coalesce("_sum_before", F.lit(0))
+    opened = F.col("_opened") + F.coalesce("_in_before", F.lit(0))
+    balance = F.col("_balance") + sum_before
+    least = F.least(F.lit(0), F.coalesce("_low_before", F.lit(0)), F.coalesce(F.col("_least") + sum_before, F.lit(0)))
+    taken = F.when(balance >= least, opened - balance + least)
+    return (
+        local.withColumn("_least", F.min("_balance").over(inside.rowsBetween(*_BEFORE)))
+        .join(F.broadcast(continued), same_piece, "left")
+        .select(*df.columns, F.when(F.col(closes), taken).otherwise(opened).cast("bigint").alias(rank))
+    )

@@ -142,6 +142,12 @@ CTES = {
         from (select * from steps where event_type = 'escalation_raised') a
           left join (select * from steps where event_type = 'escalation_resolved') b
             on b.project_id = a.project_id and b.seq = a.seq""",
+    "queue": """
+        select *, min(balance) over (partition by project_id order by ts, resolves, event_id
+            rows between unbounded preceding and 1 preceding) as lowest
+        from (select *, sum(1 - resolves) over w as opened, sum(1 - 2 * resolves) over w as balance
+          from (select *, case event_type when 'escalation_resolved' then 1 else 0 end as resolves from steps)
+          window w as (partition by project_id order by ts, resolves, event_id rows unbounded preceding))""",
 }
 
 PREFIX = "with " + ", ".join(f"{name} as ({text})" for name, text in CTES.items()) + " "
@@ -818,6 +824,13 @@ oracle("q_escalation_log", f"""
     select event_id, project_id, raised_by, {_time('raised_at')} as raised_at, severity, resolved, resolved_by,
       {_time('resolved_at')} as resolved_at, round(resolution_time_hours, 6) as resolution_time_hours
     from escalations""")
+oracle("q_escalation_log_causal", f"""
+    select a.event_id, a.project_id, a.user_id as raised_by, {_time('a.ts')} as raised_at, a.severity,
+      b.ts is not null as resolved, b.resolved_by, {_time('b.ts')} as resolved_at,
+      round(date_diff('second', a.ts, b.ts) / cast(3600 as double), 6) as resolution_time_hours
+    from (select * from queue where resolves = 0) a
+      left join (select * from queue where resolves = 1 and balance >= least(0, coalesce(lowest, 0))) b
+        on b.project_id = a.project_id and b.opened - b.balance + least(0, coalesce(b.lowest, 0)) = a.opened""")
 KPI = """select cast(sum(budget) as double) as total_budget, cast(sum(actual_cost) as double) as total_actual_cost,
       round(100 * cast(count(*) filter (where actual_cost > budget) as double) / count(*), 2)
         as over_budget_projects_pct,

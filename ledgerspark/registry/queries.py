@@ -1096,6 +1096,12 @@ def q_escalation_log(x: Inputs) -> DataFrame:
     return log.withColumn("resolution_time_hours", F.round("resolution_time_hours", 6))
 
 
+@query
+def q_escalation_log_causal(x: Inputs) -> DataFrame:
+    log = ev.escalation_log(x.valid_events, causal=True)
+    return log.withColumn("resolution_time_hours", F.round("resolution_time_hours", 6))
+
+
 @query
 def m_kpi_cards(x: Inputs) -> DataFrame:
     return qs.kpi_cards(x.star.dim_project, x.star.fact_transactions)
