@@ -24,9 +24,9 @@ def _band(value: Column) -> Column:
 
 
 def grouped_quantiles(
-    df: DataFrame, group: str, value: str, quantiles: dict[str, Decimal], scale: int = 4
+    df: DataFrame, group: str, value: str, quantiles: dict[str, Decimal], scale: int | None = 4
 ) -> DataFrame:
-    """One row per group with a decimal column per named quantile.
+    """One row per group with a decimal column per named quantile; without a scale, quantiles of doubles stay doubles.
 
     percentile() would hold every distinct value of a group in one buffer.
     Here values are counted per group and value, a first pass over band counts
@@ -86,12 +86,13 @@ def grouped_quantiles(
             F.max(where - F.floor(where)).cast("decimal(5,4)").alias(f"_{name}_part"),
         ]
     result = ranked.groupBy("_group").agg(*ends)
+
+    def between(name: str) -> Column:
+        low, part = F.col(f"_{name}_lo"), F.col(f"_{name}_part")
+        found = low + (F.col(f"_{name}_hi") - low) * part
+        return found if scale is None else found.cast(f"decimal(18,{scale})")
+
     return result.select(
         F.col("_group").alias(group),
-        *[
-            (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_part"))
-            .cast(f"decimal(18,{scale})")
-            .alias(n)
-            for n in quantiles
-        ],
+        *[between(n).alias(n) for n in quantiles],
     )

@@ -624,6 +624,22 @@ OUTLIERS = """select 'transactions' as dataset, 'amount' as target,
   from (select count(*) as m from transactions, (select avg(cast(amount as double)) as mean,
     stddev_samp(cast(amount as double)) as dev from transactions)
     where abs(cast(amount as double) - mean) / dev > 3)"""
+_BEYOND = """select 'transactions' as dataset, 'amount' as target,
+    case when m > 0 then 'FAIL' else 'PASS' end as status, cast(m as double) as metric,
+    case when m > 0 then 'amount: ' || m || ' value(s) beyond {0}' end as detail
+  from (select count(*) as m from (select cast(amount as double) as v from transactions), ({1}) where {2})"""
+_QUARTILES = """select quantile_cont(cast(amount as double), 0.25) as q1, quantile_cont(cast(amount as double), 0.75) as q3
+    from transactions"""
+oracle("dq_outliers_iqr", _BEYOND.format(
+    "1.5 quartile distances", _QUARTILES, "v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)"))
+_LOGARITHMS = """select avg(ln(v)) as mean, stddev_samp(ln(v)) as dev
+    from (select cast(amount as double) as v from transactions where amount > 0)"""
+oracle("dq_outliers_log", _BEYOND.format(
+    "3.0 std dev from the mean of logarithms", _LOGARITHMS, "case when v > 0 then abs(ln(v) - mean) / dev > 3 end"))
+_EVEN = "greatest(0.30, 2 / cast(n as double))"
+oracle("dq_distribution_relative", DISTRIBUTION.replace("share > 0.30", f"share > {_EVEN}").replace(
+    "'% of non-null values (> 30%)'", f"'% of non-null values (> ' || format('{{:.0f}}', 100 * {_EVEN}) || '%)'").replace(
+    " as double) as share", " as double) as share, count(*) over () as n"))
 CONSISTENCY = f"{BEFORE} union all {NON_NEGATIVE} union all {SALARY_LEVEL}"
 CHECKS = {
     "completeness": f"select dataset, target, status from ({COMPLETENESS})",

@@ -845,7 +845,7 @@ def st_daily_volume(x: Inputs) -> DataFrame:
 # --- data quality -----------------------------------------------------------
 
 
-def one_check(x: Inputs, check: str, *rules: str) -> DataFrame:
+def one_check(x: Inputs, check: str, *rules: str, settings: dict | None = None) -> DataFrame:
     """One check over the datasets that configure it, with its own rules only."""
     frames = {"projects": x.projects, "employees": x.employees, "transactions": x.transactions}
     result = None
@@ -854,7 +854,7 @@ def one_check(x: Inputs, check: str, *rules: str) -> DataFrame:
             continue
         config = {"completeness_threshold": dq.DQ_CONFIG[name]["completeness_threshold"], "pk_columns": []}
         config |= {rule: dq.DQ_CONFIG[name][rule] for rule in rules if rule in dq.DQ_CONFIG[name]}
-        rows = dq.run_data_quality_checks(df, name, config, AS_OF, frames)
+        rows = dq.run_data_quality_checks(df, name, config | (settings or {}), AS_OF, frames)
         rows = rows.where((F.col("check_name") == check) & F.col("target").isNotNull())
         result = rows if result is None else result.unionByName(rows)
     return result.select("dataset", "target", "status", "metric", "detail")
@@ -920,6 +920,21 @@ def dq_outliers(x: Inputs) -> DataFrame:
     return one_check(x, "outliers", "outlier_check_columns")
 
 
+@query
+def dq_outliers_iqr(x: Inputs) -> DataFrame:
+    return one_check(x, "outliers", "outlier_check_columns", settings={"outlier_mode": "iqr"})
+
+
+@query
+def dq_outliers_log(x: Inputs) -> DataFrame:
+    return one_check(x, "outliers", "outlier_check_columns", settings={"outlier_mode": "log"})
+
+
+@query
+def dq_distribution_relative(x: Inputs) -> DataFrame:
+    return one_check(x, "distribution", "distribution_check_columns", settings={"relative_share_limit": True})
+
+
 also("a_completeness", "dq_completeness")
 also("a_distinct_count", "dq_uniqueness")
 
