@@ -80,16 +80,23 @@ def salary_bands(df: DataFrame) -> DataFrame:
     )
 
 
-def with_salary_band(df: DataFrame) -> DataFrame:
-    """The band edges next to every employee.
+def stage_salary_bands(df: DataFrame) -> DataFrame:
+    """The bands as a written table, for runs that read the band edges.
 
-    The staged band table has a size that the planner reads off the files: it
-    is broadcast as long as it is small, and the employees are not shuffled by
-    their few levels.
+    The planner sees the size of the files: bands are broadcast as long as they are small, and the employees are not
+    shuffled by their few levels. The folder's owner removes the table.
     """
-    bands = stage_table(salary_bands(df), "salary-bands").select(
-        F.col("level").alias("_band_level"), "lower_bound", "upper_bound"
-    )
+    return stage_table(salary_bands(df), "salary-bands")
+
+
+def with_salary_band(df: DataFrame, bands: DataFrame | None = None) -> DataFrame:
+    """The band edges next to every employee; bands are those of df unless given. Nothing runs here.
+
+    Bands that are not given are the result of a grouping by the key of this join. So the optimizer knows the key to be
+    unique and drops the join, with all that makes the bands, wherever nothing reads them.
+    """
+    bands = salary_bands(df) if bands is None else bands
+    bands = bands.select(F.col("level").alias("_band_level"), "lower_bound", "upper_bound")
     return df.join(bands, known_or_unknown("level") == F.col("_band_level"), "left").drop("_band_level")
 
 
@@ -108,9 +115,9 @@ def capped_salary() -> Column:
     )
 
 
-def clean_employees(df: DataFrame, as_of: dt.date, domain: str = EMAIL_DOMAIN) -> DataFrame:
-    """All employee rules; two small aggregates joined into one projection."""
-    context = with_salary_band(df).crossJoin(F.broadcast(median_hire_date(df, as_of)))
+def clean_employees(df: DataFrame, as_of: dt.date, domain: str = EMAIL_DOMAIN, bands: DataFrame | None = None) -> DataFrame:
+    """All employee rules; two small aggregates joined into one projection. bands as in with_salary_band."""
+    context = with_salary_band(df, bands).crossJoin(F.broadcast(median_hire_date(df, as_of)))
     return context.select(
         "employee_id",
         known_or_unknown("full_name").alias("full_name"),
@@ -127,10 +134,10 @@ def clean_employees(df: DataFrame, as_of: dt.date, domain: str = EMAIL_DOMAIN) -
     )
 
 
-def employee_fix_counts(df: DataFrame, as_of: dt.date) -> DataFrame:
+def employee_fix_counts(df: DataFrame, as_of: dt.date, bands: DataFrame | None = None) -> DataFrame:
     """Rows touched by each rule, as (issue, affected_rows).
 
-    A required text column is listed only when it has missing values.
+    A required text column is listed only when it has missing values. bands as in with_salary_band.
     """
     bad_date = hire_date_invalid() | hire_date_implausible(as_of)
     years = F.col("years_experience")
@@ -146,7 +153,7 @@ def employee_fix_counts(df: DataFrame, as_of: dt.date) -> DataFrame:
         "salary_level_mismatch": F.count_if(salary_outside_band()),
         "self_referencing_manager": F.count_if(self_managed),
     }
-    rows = metric_rows(with_salary_band(df), metrics, "issue", "affected_rows")
+    rows = metric_rows(with_salary_band(df, bands), metrics, "issue", "affected_rows")
     optional = [f"missing_{c}" for c in REQUIRED_TEXT]
     return rows.where(~F.col("issue").isin(optional) | (F.col("affected_rows") > 0))
 

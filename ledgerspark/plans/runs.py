@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.operators.employees import clean_employees
+from ledgerspark.operators.employees import clean_employees, stage_salary_bands
 from ledgerspark.operators.projects import clean_projects
 from ledgerspark.operators.transactions import enrich_transactions
 from ledgerspark.plans.events import (
@@ -72,7 +72,9 @@ def run_batch_etl(
     enforce_gate(checks)
 
     projects = stage_table(clean_projects(raw["projects"]), "clean-projects")
-    employees = stage_table(clean_employees(raw["employees"], as_of), "clean-employees")
+    employees = stage_table(
+        clean_employees(raw["employees"], as_of, bands=stage_salary_bands(raw["employees"])), "clean-employees"
+    )
     transactions = stage_table(
         enrich_transactions(raw["transactions"], projects, employees), "clean-transactions"
     )

@@ -388,7 +388,7 @@ def e_clamp_experience(x: Inputs) -> DataFrame:
 
 @query
 def e_salary_band(x: Inputs) -> DataFrame:
-    return emp.with_salary_band(x.employees).select(
+    return emp.with_salary_band(x.employees, emp.stage_salary_bands(x.employees)).select(
         "employee_id", emp.salary_outside_band().alias("outside_band"), emp.capped_salary().alias("salary")
     )
 
@@ -400,12 +400,12 @@ def e_self_manager(x: Inputs) -> DataFrame:
 
 @query
 def e_quality_summary(x: Inputs) -> DataFrame:
-    return emp.employee_fix_counts(x.employees, AS_OF)
+    return emp.employee_fix_counts(x.employees, AS_OF, emp.stage_salary_bands(x.employees))
 
 
 @query
 def q_employees_clean(x: Inputs) -> DataFrame:
-    return x.clean_employees
+    return emp.clean_employees(x.employees, AS_OF, bands=emp.stage_salary_bands(x.employees))
 
 
 @query

@@ -11,6 +11,7 @@ from ledgerspark.operators.employees import (
     inactive_conflicts,
     median_hire_date,
     salary_bands,
+    stage_salary_bands,
 )
 from ledgerspark.operators.quantiles import grouped_quantiles
 from tests.helpers import by, employees
@@ -89,6 +90,21 @@ def test_salaries_are_capped_to_the_band_of_their_level(spark, as_of):
     assert got["E4"] == Decimal(160) and got["E0"] == Decimal(100) and got["single"] == Decimal(5)
 
 
+def test_bands_that_nobody_reads_are_not_made(raw, as_of, monkeypatch):
+    """No job and no write while the plan is built, and no quantiles in a plan that reads no salary."""
+    monkeypatch.setattr("ledgerspark.operators.employees.stage_table", lambda *_: pytest.fail("a column rule writes"))
+    cleaned = clean_employees(raw, as_of)
+    plan = cleaned.select("employee_id", "full_name", "hire_date")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_band" not in plan
+    assert "_band" in cleaned.select("salary")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_given_bands_give_the_same_rows(raw, as_of):
+    bands = stage_salary_bands(raw)
+    assert sorted(map(str, clean_employees(raw, as_of, bands=bands).collect())) == sorted(map(str, clean_employees(raw, as_of).collect()))
+    assert sorted(employee_fix_counts(raw, as_of, bands).collect()) == sorted(employee_fix_counts(raw, as_of).collect())
+
+
 def test_low_edge_is_not_negative(spark):
     df = employees(spark, *[{"employee_id": str(i), "salary": Decimal(p)} for i, p in enumerate([1, 50, 100])])
     assert by(salary_bands(df), "level", "lower_bound")["Mid"] == 0
