@@ -1,11 +1,12 @@
 """The corpus pipeline: toxicity, exact dedup, n-gram Jaccard join, mixing, byte-level BPE.
 
-Each stage reads all that the one before kept. The first four return the columns of documents.
+Each stage reads all that the one before kept. The first four return the columns of documents. The mixture is the order
+of the rows; the last stage reads it from the files and lays the token stream out in it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerspark.llm import exact, mixing, parity_join, registry, toxicity
 from ledgerspark.staging import stage_table
@@ -32,8 +33,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of every document."""
-    return registry.bpe_digests(docs)
+    """Token count and digests of every document, in the order in which the files hold the documents.
+
+    mix_position is a document's number in that order, first_token the number of tokens before its own: where it starts
+    in the token stream of the mixture. The documents are encoded under their positions, since ids may repeat.
+    """
+    placed = mixing.laid_positions(docs)
+    digests = registry.bpe_digests(placed.select(F.col("_position").alias("doc_id"), "text"))
+    encoded = stage_table(digests.withColumnRenamed("doc_id", "mix_position"), "encoded")
+    ids = placed.select(F.col("_position").alias("mix_position"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    stream = mixing.total_before(encoded.join(ids, "mix_position"), "mix_position", "n_tokens", "first_token")
+    return (
+        stream.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "mix_position", "first_token")
+        .repartitionByRange("mix_position").sortWithinPartitions("mix_position")
+    )
 
 
 STAGES = [

@@ -26,6 +26,8 @@ CYCLE = 1000
 MAX_SOURCES = 10_000
 #: Rows that are put in order in one group, on average.
 BUCKET_ROWS = 4096
+#: Rows of the mixture over which a running total is summed in one group.
+STRETCH_ROWS = 1 << 14
 
 
 def cycle_slots(weights: Mapping[str, int]) -> list[str]:
@@ -131,3 +133,37 @@ def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs, all of them, laid out in the order of the mixture."""
     mixed = pfair_mix(docs, **options)
     return mixed.repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place").select(*docs.columns)
+
+
+def laid_positions(docs: DataFrame) -> DataFrame:
+    """docs, which have to be read from files, plus _position: the row's number, from 0, in the order of the files.
+
+    Spark's writers number files as the tasks are, so a table that in_mixed_order has laid out is numbered in the order
+    of the mixture. One offset per file is broadcast.
+    """
+    rows = docs.drop("_position", "_file", "_row").select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    files = stage_table(rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")), "mix-files")
+    # a number that has outgrown its leading zeros makes a longer name
+    before = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return rows.join(F.broadcast(offsets), "_file").withColumn("_position", F.col("_offset") + F.col("_row")).drop("_file", "_row", "_offset")
+
+
+def total_before(rows: DataFrame, position: str, amount: str, total: str) -> DataFrame:
+    """rows plus total: the sum of amount over all rows of a smaller position; positions are 0, 1, 2 and so on.
+
+    Stretches of STRETCH_ROWS rows are summed in groups of their own; one offset per stretch is broadcast.
+    """
+    parts = rows.withColumn("_stretch", F.floor(F.col(position) / STRETCH_ROWS))
+    sums = parts.groupBy("_stretch").agg(F.sum(amount).alias("_sum"))
+    before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_stretch", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_stretch").orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        parts.withColumn(total, F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_stretch")
+        .withColumn(total, F.col(total) + F.col("_offset"))
+        .drop("_stretch", "_offset")
+    )

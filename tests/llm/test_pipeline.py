@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from ledgerspark.llm import bpe, registry
+from ledgerspark.llm import bpe, mixing, registry
 from tests.llm.test_set_operators import parts, shingles
 
 FOLDER = "/root/testdata/sf0.001"
@@ -64,3 +64,27 @@ def test_run(spark):
         ids = own.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_mixture_orders_the_token_stream(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(i % 290, f"text number {i} " * (i % 7), "en", "abc"[i % 10 // 4], 0) for i in range(300)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    stage = dict(corpus_pipeline.STAGES)
+    stage["mixing sources to target weights"](spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    rows = stage["byte-level BPE encoding and decoding"](spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    want = mixing.pfair_mix(docs).orderBy("_slot", "_place").collect()
+    assert [r.mix_position for r in rows] == list(range(300))
+    assert [(r.doc_id, r.decoded_sha256) for r in rows] == [(w.doc_id, hashlib.sha256(w.text.encode()).hexdigest()) for w in want]
+    assert [r.first_token for r in rows] == [sum(r.n_tokens for r in rows[:i]) for i in range(300)]
+
+    docs.coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{tmp_path}/plain")
+    plain = stage["byte-level BPE encoding and decoding"](spark, spark.read.parquet(f"{tmp_path}/plain"), "").collect()
+    assert [r.doc_id for r in plain] == sorted(r.doc_id for r in rows) != [r.doc_id for r in rows]
+
+
+def test_total_before_over_several_stretches(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH_ROWS", 8)
+    rows = mixing.total_before(spark.range(50).selectExpr("id", "id * id as n"), "id", "n", "before").collect()
+    assert {r.id: r.before for r in rows} == {i: sum(j * j for j in range(i)) for i in range(50)}
