@@ -108,3 +108,13 @@ def test_batch_run(spark, folder, tmp_path):
     assert got["projects", "file"] == f"{out}/projects_clean.csv"
     written = spark.read.option("header", True).csv(f"{out}/transactions_clean.csv")
     assert by(written, "transaction_id", "approver_name", "amount_aed") == {"t1": ("A", "5.25"), "t2": (None, "0.0")}
+
+
+def test_jsonl_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "JSON_FILE_ROWS", 300)
+    rows = spark.range(1000).selectExpr("concat('t', id) as transaction_id", "'a line\nbreak' as notes").coalesce(1)
+    assert sinks.write_jsonl(rows, str(tmp_path / "out")) == 1000
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    assert len(parts) == 4 and all(p.name.endswith(".json.gz") for p in parts)
+    loaded = files.read_transactions(spark, str(tmp_path / "out"), lines=True).select("transaction_id", "notes")
+    assert sorted(loaded.collect()) == sorted(rows.collect())
