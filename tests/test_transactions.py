@@ -4,7 +4,7 @@ import pytest
 
 from ledgerspark.operators.joins import duplicate_keys, key_profile
 from ledgerspark.operators.transactions import enrich_transactions, replicate_transactions, unmatched_projects
-from tests.helpers import by, employees, projects, transactions
+from tests.helpers import by, employees, plan, projects, transactions
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +69,38 @@ def test_null_keys_are_spread_over_partitions(spark):
 def test_replication(spark, feed):
     ids = [r.transaction_id for r in replicate_transactions(feed, 3).collect()]
     assert len(set(ids)) == 9 and "t1-R0" in ids and "t3-R2" in ids
+
+
+def test_approvers_are_few_and_checked(spark, feed):
+    from ledgerspark.operators.transactions import approver_names
+
+    staff = employees(spark, {"employee_id": "e1"}, {"employee_id": "e2"}, {"employee_id": None})
+    assert by(approver_names(feed, staff), "employee_id", "approver_name") == {"e1": "A B"}
+    twice = employees(spark, {"employee_id": "e1"}, {"employee_id": "e2"}, {"employee_id": "e2"})
+    with pytest.raises(Exception, match="duplicate employee_id, the join would fan out: e2"):
+        enrich_transactions(feed, projects(spark, {"project_id": "p1"}), twice).collect()
+
+
+def test_transactions_are_shuffled_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ledgerspark.staging import stage_table
+
+    many = spark.range(200_000)
+    facts = stage_table(
+        transactions(spark, {}).drop("transaction_id", "project_id", "approved_by").crossJoin(many)
+        .selectExpr("*", "cast(id as string) as transaction_id", "concat('p', id) as project_id", "concat('e', id % 50) as approved_by").drop("id"),
+        "test-facts",
+    )
+    people = stage_table(employees(spark, {}).drop("employee_id", "full_name").crossJoin(many).selectExpr(
+        "*", "concat('e', id) as employee_id", "concat('name ', sha2(string(id), 256)) as full_name").drop("id"), "test-people")
+    works = stage_table(projects(spark, {}).drop("project_id").crossJoin(many).selectExpr("*", "concat('p', id) as project_id").drop("id"), "test-works")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        enriched = enrich_transactions(facts, works, people)
+        text = plan(enriched).split("== Physical Plan ==")[1]
+        assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 1
+        assert "_spread_key" not in text and "_fact_key" not in text
+        assert enriched.where(F.col("approver_name").isNotNull() & F.col("project_name").isNotNull()).count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
