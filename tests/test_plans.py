@@ -111,3 +111,15 @@ def test_a_hot_key_is_split_by_adaptive_execution(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in final
+
+
+def test_the_run_report_has_the_checks_once(spark):
+    from ledgerspark.plans.report import run_report
+
+    checks = spark.createDataFrame([("d", "c1", "PASS"), ("d", "c2", "FAIL"), ("d", "c3", "FAIL")], "dataset string, check_name string, status string")
+    checks = checks.where("check_name <> 'marker'")
+    report = run_report({"d": spark.range(3)}, {"d": spark.range(2)}, checks)
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("marker") == 1
+    assert sorted(tuple(r) for r in report.collect()) == [
+        ("d", "checks_failed", "2"), ("d", "checks_passed", "1"), ("d", "clean_rows", "2"), ("d", "raw_rows", "3"),
+    ]
