@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerspark.plans import warehouse as wh
+from ledgerspark.staging import stage_table
 
 VERSIONS, PUBLISHED, CHECKS = "versions", "published", "constraint_checks"
 
@@ -31,23 +32,32 @@ def write_star(
 ) -> dict[str, DataFrame]:
     """Write the star schema as Parquet below folder and read it back.
 
-    Bridge and fact are built from the written dimensions, so every key is given once.
+    Bridge and fact are built from the written dimensions, so every key is given once. The transactions are staged once
+    for all tables, and what of the dimensions is looked up for the approvers, so that the planner sees its size.
     """
     spark = transactions.sparkSession
     written: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> None:
         path = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         written[name] = spark.read.schema(df.schema).parquet(path)
 
-    put("dim_date", wh.dim_date_for(transactions) if calendar is None else wh.build_dim_date(spark, *calendar))
+    rows = wh.stage_transactions(transactions)
+    put("dim_date", wh.dim_date_for(rows) if calendar is None else wh.build_dim_date(spark, *calendar))
     put("dim_project", wh.build_dim_project(clean_projects))
     put("dim_employee", wh.build_dim_employee(clean_employees, history))
-    put("dim_vendor", wh.build_dim_vendor(transactions))
-    put("bridge_employee_project", wh.build_bridge(transactions, written["dim_project"], written["dim_employee"]))
-    dimensions = [written[name] for name in ("dim_project", "dim_vendor", "dim_employee")]
-    put("fact_transactions", wh.build_fact(transactions, *dimensions))
+    put("dim_vendor", wh.build_dim_vendor(rows))
+    of_project = stage_table(wh.with_project_keys(rows, written["dim_project"]), "project-keys", compression="zstd")
+    approvers = stage_table(wh.approvers_in_use(rows), "approvers")
+    versions = stage_table(
+        written["dim_employee"].select("employee_key", "employee_id", "valid_from", "valid_to", "is_current").join(approvers, "employee_id", "left_semi"),
+        "approver-versions",
+    )
+    managers = wh.manager_pairs(written["dim_project"], written["dim_employee"])
+    current = stage_table(versions.where("is_current").select("employee_key", "employee_id"), "current-approvers")
+    put("bridge_employee_project", managers.unionByName(wh.keyed_approver_pairs(of_project, current)))
+    put("fact_transactions", wh.keyed_fact(rows, of_project, written["dim_vendor"], versions))
     return written
 
 
