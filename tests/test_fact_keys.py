@@ -7,7 +7,7 @@ import pytest
 
 from ledgerspark.operators.employees import clean_employees
 from ledgerspark.operators.projects import clean_projects
-from ledgerspark.plans import warehouse as wh
+from ledgerspark.plans import load, warehouse as wh
 from tests.helpers import employees, history, projects, transactions
 
 
@@ -56,3 +56,24 @@ def test_lookups_shuffle_no_whole_transactions(spark, star):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     shuffled = [below for line, below in zip(plan, plan[1:]) if "Exchange" in line and "invoice_ref" in below]
     assert any("Exchange" in line for line in plan) and not shuffled
+
+
+def test_repeated_text_keys_are_counted_by_hash_first(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1)], "code string, n int")
+    assert wh._unique_violations(df, ["code"]).first().violations == 3
+    assert wh._unique_violations(df, ["code", "n"]).first().violations == 2
+    sound = wh._unique_violations(df.where("code = 'b'"), ["code"])
+    assert sound.first().violations == 0
+    assert "xxhash64(code" in sound._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_load_reads_staged_transactions(star, tmp_path, monkeypatch):
+    seen = []
+    for name in ("dim_date_for", "build_dim_vendor"):
+        monkeypatch.setattr(wh, name, lambda df, run=getattr(wh, name): (seen.append("_row" in df.columns), run(df))[1])
+    written = load.write_star(star._projects, star._employees(), star._history, star._transactions, str(tmp_path))
+    assert seen == [True, True]
+    bridge = wh.build_bridge(star._transactions, written["dim_project"], written["dim_employee"])
+    got = [tuple(r) for r in written["bridge_employee_project"].collect()]
+    assert sorted(got) == sorted(tuple(r) for r in bridge.collect()) and got
+    assert sorted(written["dim_employee"].columns) == sorted(star.dim_employee.columns)
