@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerspark.plans import warehouse as wh
-from ledgerspark.staging import stage_table
+from ledgerspark.staging import COMPACT, bucket_count, stage_buckets, stage_table
 
 VERSIONS, PUBLISHED, CHECKS = "versions", "published", "constraint_checks"
 
@@ -33,14 +33,15 @@ def write_star(
     """Write the star schema as Parquet below folder and read it back.
 
     Bridge and fact are built from the written dimensions, so every key is given once. The transactions are staged once
-    for all tables, and what of the dimensions is looked up for the approvers, so that the planner sees its size.
+    for all tables, and what of the dimensions is looked up for the approvers, so that the planner sees its size. The files of bridge
+    and fact are sorted by key, as the encoding leaves out what a value shares with the one before.
     """
     spark = transactions.sparkSession
     written: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame) -> None:
         path = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        df.write.mode("overwrite").options(**COMPACT).parquet(path)
         written[name] = spark.read.schema(df.schema).parquet(path)
 
     rows = wh.stage_transactions(transactions)
@@ -48,7 +49,8 @@ def write_star(
     put("dim_project", wh.build_dim_project(clean_projects))
     put("dim_employee", wh.build_dim_employee(clean_employees, history))
     put("dim_vendor", wh.build_dim_vendor(rows))
-    of_project = stage_table(wh.with_project_keys(rows, written["dim_project"]), "project-keys", compression="zstd")
+    dealt = wh.with_project_keys(rows, written["dim_project"]).repartition(bucket_count(spark), "_row")
+    of_project = stage_buckets(dealt, "project-keys", "_row", in_order=True)
     approvers = stage_table(wh.approvers_in_use(rows), "approvers")
     versions = stage_table(
         written["dim_employee"].select("employee_key", "employee_id", "valid_from", "valid_to", "is_current").join(approvers, "employee_id", "left_semi"),
@@ -56,8 +58,10 @@ def write_star(
     )
     managers = wh.manager_pairs(written["dim_project"], written["dim_employee"])
     current = stage_table(versions.where("is_current").select("employee_key", "employee_id"), "current-approvers")
-    put("bridge_employee_project", managers.unionByName(wh.keyed_approver_pairs(of_project, current)))
-    put("fact_transactions", wh.keyed_fact(rows, of_project, written["dim_vendor"], versions))
+    bridge = managers.unionByName(wh.keyed_approver_pairs(rows, of_project, current))
+    put("bridge_employee_project", bridge.sortWithinPartitions("employee_key", "project_key"))
+    fact = wh.keyed_fact(rows, of_project, written["dim_vendor"], versions)
+    put("fact_transactions", fact.sortWithinPartitions("transaction_key"))
     return written
 
 
