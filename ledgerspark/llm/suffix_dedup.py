@@ -101,10 +101,10 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
 
 
 def _sort(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Contexts by anchor to (anchor, context, first, last start of a string that occurs elsewhere)."""
+    """Contexts by anchor to (anchor, context, level, first, last start of a string that occurs elsewhere)."""
     frugal()
 
-    def marks(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    def marks(rows: list[tuple[int, int, int, int, bytes, int]]) -> pa.RecordBatch:
         sizes = np.array([len(r[4]) for r in rows], np.int64)
         begin = np.cumsum(sizes + 1) - sizes - 1
         twice = np.zeros(int(sizes.sum()) + len(rows), bool)
@@ -121,8 +121,9 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
         first, last = np.where(copied, 0, first), np.where(copied, np.array([r[3] for r in rows]) - 1, last)
         kept = last >= first
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
-            names=["anchor", "context", "first", "last"],
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[5] for r in rows], pa.int32()),
+             pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+            names=["anchor", "context", "level", "first", "last"],
         ).filter(pa.array(kept))
 
     held, size = [], 0
@@ -181,7 +182,11 @@ def _lengthen(pieces: DataFrame, length: int) -> DataFrame:
 
 
 def _repeated_in_contexts(contexts: DataFrame, length: int) -> DataFrame:
-    """(anchor, context, first, last) of contexts with strings that occur elsewhere, last and first being starts."""
+    """(anchor, context, first, last) of contexts with strings that occur elsewhere, last and first being starts.
+
+    A context has its level: how often its anchor was made longer. From the last level up, what was found is handed to
+    the contexts that it was made from, so that each level is read and joined once.
+    """
     columns = ["anchor", "context", "copies", "starts", "place", "bytes", "size"]
     open_ = contexts.withColumn("size", F.lit(anchor_size(length)))
     few, levels = [], []
@@ -199,20 +204,25 @@ def _repeated_in_contexts(contexts: DataFrame, length: int) -> DataFrame:
             .agg(F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in columns[3:]]).select(*columns),
             "lengthened",
         )
-    cold = few[0].select(*columns)
-    for more in few[1:]:
-        cold = cold.unionByName(more.select(*columns))
+    cold = few[0].select(*columns, F.lit(0).alias("level"))
+    for k, more in enumerate(few[1:], 1):
+        cold = cold.unionByName(more.select(*columns, F.lit(k).alias("level")))
     marks = stage(
-        cold.select("anchor", "context", "copies", "starts", "bytes").repartition("anchor").sortWithinPartitions("anchor", "context")
-        .mapInArrow(partial(_sort, length=length), "anchor bigint, context bigint, first int, last int"),
+        cold.select("anchor", "context", "copies", "starts", "bytes", "level").repartition("anchor").sortWithinPartitions("anchor", "context")
+        .mapInArrow(partial(_sort, length=length), "anchor bigint, context bigint, level int, first int, last int"),
         "repeated",
     )
-    for level in reversed(levels):
-        older = marks.join(level, ["anchor", "context"]).selectExpr(
+
+    def of(level: int) -> DataFrame:
+        return marks.where(F.col("level") == level).drop("level")
+
+    found = of(len(levels))
+    for k, parts in reversed(list(enumerate(levels))):
+        older = found.join(parts, ["anchor", "context"]).selectExpr(
             "old_anchor as anchor", "old_context as context", "first + shift as first", "last + shift as last"
         )
-        marks = marks.unionByName(older)
-    return marks
+        found = of(k).unionByName(older)
+    return found
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

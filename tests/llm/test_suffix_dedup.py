@@ -97,6 +97,34 @@ def test_removal(spark, monkeypatch, most):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_levels_are_joined_once_each(spark, monkeypatch):
+    """A phrase one byte shorter than the length makes anchors longer up to full length; marks and each level stand in the plan once."""
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", 4)
+    rng = random.Random(3)
+    phrase = "one phrase for all."
+    texts = ["".join(rng.choices("abcdefgh", k=30)) + phrase + "".join(rng.choices("abcdefgh", k=30)) for _ in range(60)] + ["x" + phrase + "y"] * 2
+    labels, plans = [], []
+    stage, repeated = suffix_dedup.stage, suffix_dedup._repeated_in_contexts
+
+    def noted_stage(df, label, **options):
+        labels.append(label)
+        return stage(df, label, **options)
+
+    def noted_marks(contexts, length):
+        marks = repeated(contexts, length)
+        plans.append(marks._jdf.queryExecution().optimizedPlan().toString())
+        return marks
+
+    monkeypatch.setattr(suffix_dedup, "stage", noted_stage)
+    monkeypatch.setattr(suffix_dedup, "_repeated_in_contexts", noted_marks)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs, len(phrase) + 1).sort("doc_id").collect()]
+    assert got == plain_removal([t.encode() for t in texts], len(phrase) + 1)
+    levels = labels.count("anchor-parts")
+    assert levels >= 3
+    assert (plans[0].count("Join Inner"), plans[0].count("Relation [")) == (levels, 2 * levels + 1)
+
+
 def test_no_documents(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
