@@ -14,7 +14,7 @@ MOST_CONTEXTS. Contexts and anchors are told apart by two 64-bit hashes over the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -185,30 +185,32 @@ def _repeated_in_contexts(contexts: DataFrame, length: int) -> DataFrame:
     """(anchor, context, first, last) of contexts with strings that occur elsewhere, last and first being starts.
 
     A context has its level: how often its anchor was made longer. From the last level up, what was found is handed to
-    the contexts that it was made from, so that each level is read and joined once.
+    the contexts that it was made from, so that each level is read and joined once. Equal parts of contexts are put
+    together behind the last level; up to there they are counted once, and a level is written as the tasks read it.
     """
-    columns = ["anchor", "context", "copies", "starts", "place", "bytes", "size"]
     open_ = contexts.withColumn("size", F.lit(anchor_size(length)))
     few, levels = [], []
     while True:
-        many = stage(open_.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_CONTEXTS).select("anchor"), "frequent-anchors")
+        each = open_.select("anchor", "context").distinct() if levels else open_
+        many = stage(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MOST_CONTEXTS).select("anchor"), "frequent-anchors")
         if many.isEmpty():
             few.append(open_)
             break
         few.append(open_.join(many, "anchor", "left_anti"))
         parts = stage(_lengthen(open_.join(many, "anchor", "left_semi"), length), "anchor-parts")
+        levels.append(parts.select("anchor", "context", "old_anchor", "old_context", "shift").distinct())
+        open_ = parts.select(*contexts.columns, "size")
+    columns = ["anchor", "context", "copies", "starts", "bytes", "level"]
+    cold, *longer = (some.withColumn("level", F.lit(k)).select(*columns) for k, some in enumerate(few))
+    if longer:
+        parts = reduce(DataFrame.unionByName, longer)
         shared = parts.groupBy("anchor").agg(F.sum("copies").alias("all")).where("all > 1").select("anchor")
-        levels.append(parts.select("anchor", "context", "old_anchor", "old_context", "shift"))
-        open_ = stage(
+        cold = cold.unionByName(
             parts.join(shared, "anchor", "left_semi").groupBy("anchor", "context")
-            .agg(F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in columns[3:]]).select(*columns),
-            "lengthened",
+            .agg(F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in columns[3:]])
         )
-    cold = few[0].select(*columns, F.lit(0).alias("level"))
-    for k, more in enumerate(few[1:], 1):
-        cold = cold.unionByName(more.select(*columns, F.lit(k).alias("level")))
     marks = stage(
-        cold.select("anchor", "context", "copies", "starts", "bytes", "level").repartition("anchor").sortWithinPartitions("anchor", "context")
+        cold.repartition("anchor").sortWithinPartitions("anchor", "context")
         .mapInArrow(partial(_sort, length=length), "anchor bigint, context bigint, level int, first int, last int"),
         "repeated",
     )
