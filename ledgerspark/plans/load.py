@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerspark.plans import warehouse as wh
-from ledgerspark.staging import COMPACT, bucket_count, stage_buckets, stage_table
+from ledgerspark.staging import COMPACT, stage_buckets, stage_table
 
 VERSIONS, PUBLISHED, CHECKS = "versions", "published", "constraint_checks"
 
@@ -49,8 +49,7 @@ def write_star(
     put("dim_project", wh.build_dim_project(clean_projects))
     put("dim_employee", wh.build_dim_employee(clean_employees, history))
     put("dim_vendor", wh.build_dim_vendor(rows))
-    dealt = wh.with_project_keys(rows, written["dim_project"]).repartition(bucket_count(spark), "_row")
-    of_project = stage_buckets(dealt, "project-keys", "_row", in_order=True)
+    of_project = stage_buckets(wh.with_project_keys(rows, written["dim_project"]), "project-keys", "_block", in_order=["_row"])
     approvers = stage_table(wh.approvers_in_use(rows), "approvers")
     versions = stage_table(
         written["dim_employee"].select("employee_key", "employee_id", "valid_from", "valid_to", "is_current").join(approvers, "employee_id", "left_semi"),
@@ -58,7 +57,7 @@ def write_star(
     )
     managers = wh.manager_pairs(written["dim_project"], written["dim_employee"])
     current = stage_table(versions.where("is_current").select("employee_key", "employee_id"), "current-approvers")
-    bridge = managers.unionByName(wh.keyed_approver_pairs(rows, of_project, current))
+    bridge = wh.keyed_approver_pairs(rows, of_project, current).unionByName(managers)  # planned in the session of the rows
     put("bridge_employee_project", bridge.sortWithinPartitions("employee_key", "project_key"))
     fact = wh.keyed_fact(rows, of_project, written["dim_vendor"], versions)
     put("fact_transactions", fact.sortWithinPartitions("transaction_key"))

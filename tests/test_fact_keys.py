@@ -77,3 +77,52 @@ def test_the_load_reads_staged_transactions(star, tmp_path, monkeypatch):
     got = [tuple(r) for r in written["bridge_employee_project"].collect()]
     assert sorted(got) == sorted(tuple(r) for r in bridge.collect()) and got
     assert sorted(written["dim_employee"].columns) == sorted(star.dim_employee.columns)
+
+
+def test_staged_transactions_are_a_file_per_block_and_not_per_bucket(spark):
+    dealt = transactions(spark, *[{"transaction_id": f"t{i}"} for i in range(400)]).repartition(20)
+    rows = wh.stage_transactions(dealt)
+    assert len(rows.inputFiles()) <= 20  # 20 tasks with fewer rows than a block; in 4 buckets each, they were 80
+    assert sorted(r.transaction_id for r in rows.collect()) == sorted(f"t{i}" for i in range(400))
+    assert rows.select("_row").distinct().count() == 400
+
+
+def test_a_task_of_many_blocks_fills_many_buckets(spark, star, monkeypatch):
+    monkeypatch.setattr(wh, "BLOCK_BITS", 2)
+    rows = wh.stage_transactions(star._transactions.coalesce(1))
+    assert rows.groupBy("_block").count().agg({"count": "max"}).first()[0] <= 4
+    assert len({name.rpartition("_")[2] for name in rows.inputFiles()}) > 1  # the bucket is the end of the name
+    columns = ["invoice_ref", "transaction_id", "project_key", "employee_key", "vendor_key"]
+    of_project = wh.with_project_keys(rows, star.dim_project)
+    fact = wh.keyed_fact(rows, of_project, star.dim_vendor, star.dim_employee).select(columns).collect()
+    whole = wh.fact_rows(star._transactions, star.dim_project, star.dim_vendor, star.dim_employee).select(columns).collect()
+    assert sorted(map(tuple, fact), key=str) == sorted(map(tuple, whole), key=str)
+
+
+def test_small_lookups_of_the_fact_are_staged(spark, star, monkeypatch):
+    seen = {}
+    versions, fact = wh.employee_versions, wh.keyed_fact
+    monkeypatch.setattr(wh, "employee_versions", lambda people, *rest: (seen.update(people=people), versions(people, *rest))[1])
+    monkeypatch.setattr(wh, "keyed_fact", lambda rows, of_project, vendors, at: (seen.update(vendors=vendors), fact(rows, of_project, vendors, at))[1])
+    wh.Star(star._projects, star._employees, star._history, star._transactions).fact_transactions
+    for lookup in seen.values():  # the planner knows their size, and plans nothing that makes them
+        plan = lookup._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" in plan and "Join" not in plan and "Exchange" not in plan
+    assert sorted(seen) == ["people", "vendors"]
+
+
+def test_staged_transactions_stay_beside_what_is_joined(spark, star):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = wh.stage_transactions(star._transactions)
+        fact = wh.keyed_fact(rows, wh.with_project_keys(rows, star.dim_project), star.dim_vendor.limit(0), star.dim_employee)
+        of_plan = fact.drop("vendor_key")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in of_plan]
+    at = next(i for i, line in enumerate(of_plan) if "FileScan" in line and "invoice_ref" in line)
+    above = [of_plan[i] for i in range(at) if depth[i] < min(depth[i + 1 : at + 1])]
+    assert "Bucketed: true" in of_plan[at] and sum("SortMergeJoin" in line for line in above) == 3
+    assert not [line for line in above if "Exchange" in line]
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
